@@ -71,3 +71,23 @@ def salted_join(facts: DataFrame, table: DataFrame, on: list[str], how: str = "l
         .drop("_hot")
     )
     return left.join(right, [*on, "_salt"], how).drop("_salt")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per session, so that executors need no copy of the repository."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_symposia_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="symposia-code-"), "symposia.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith((".py", ".npz")):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(target)
+    sc._symposia_shipped = True
