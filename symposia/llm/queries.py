@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from symposia.llm import components, cooccurrence, mixing, splitting, survivors, tokens
+from symposia.llm import components, cooccurrence, mixing, names, splitting, survivors, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": splitting.p1_found,
     "p1_pieces": splitting.p1_pieces,
+    "p2_found": names.p2_found,
+    "p2_groups": names.p2_groups,
     "p3_found": components.p3_found,
     "p3_groups": components.p3_groups,
     "p4_found": cooccurrence.p4_found,
@@ -24,5 +26,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {}
-for module in (splitting, components, cooccurrence, survivors, tokens, mixing):
+for module in (splitting, names, components, cooccurrence, survivors, tokens, mixing):
     ORACLE |= module.ORACLE
