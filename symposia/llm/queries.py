@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from symposia.llm import components, cooccurrence, mixing, names, splitting, survivors, tokens
+from symposia.llm import components, cooccurrence, mixing, names, reading, splitting, survivors, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": splitting.p1_found,
@@ -23,8 +23,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p8_roundtrip": tokens.p8_roundtrip,
     "p9_shares": mixing.p9_shares,
     "p9_mixture": mixing.p9_mixture,
+    "p10_found": reading.p10_found,
+    "p10_levels": reading.p10_levels,
 }
 
 ORACLE: dict[str, str] = {}
-for module in (splitting, names, components, cooccurrence, survivors, tokens, mixing):
+for module in (splitting, names, components, cooccurrence, survivors, tokens, mixing, reading):
     ORACLE |= module.ORACLE
