@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from symposia.llm import components, cooccurrence, mixing, names, reading, splitting, survivors, tokens
+from symposia.llm import components, cooccurrence, mixing, names, pii, reading, splitting, survivors, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": splitting.p1_found,
@@ -17,6 +17,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_groups": components.p3_groups,
     "p4_found": cooccurrence.p4_found,
     "p4_scores": cooccurrence.p4_scores,
+    "p5_found": pii.p5_found,
+    "p5_redacted": pii.p5_redacted,
     "p7_found": survivors.p7_found,
     "p7_survivors": survivors.p7_survivors,
     "p8_ids": tokens.p8_ids,
@@ -28,5 +30,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {}
-for module in (splitting, names, components, cooccurrence, survivors, tokens, mixing, reading):
+for module in (splitting, names, components, cooccurrence, survivors, tokens, mixing, pii, reading):
     ORACLE |= module.ORACLE
