@@ -16,9 +16,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from symposia.functions.columns import reference
 from symposia.runtime import cut, partitions, read
 
 SALTS = 16
@@ -38,13 +39,6 @@ REFERENCES = (
 )
 
 
-def whole_number(c: Column) -> Column:
-    """The whole number a text spells (``7``, `` 7``, ``7.0``, ``+7``, ``007``); null for anything else and for zero."""
-    text = F.regexp_replace(c.cast("string"), r"^[\s ]+|[\s ]+$", "")
-    digits = F.regexp_extract(text, r"^([+-]?\d+)(?:\.0*)?$", 1)
-    return F.nullif(F.when(digits != "", digits).try_cast("bigint"), F.lit(0).cast("bigint"))
-
-
 def parent_intervals(spark: SparkSession, base: str, tables: list[str]) -> DataFrame:
     """(parent, key, here, marked, gone, valid_from, valid_to), one row per key that has a row or a deletion."""
     deletions = read(spark, base, "deletions").select(
@@ -94,12 +88,12 @@ def references(spark: SparkSession, base: str, refs: tuple[Reference, ...] = REF
         rows = read(spark, base, ref.child)
         own = F.col("id").cast("string")
         if ref.child == "votes":
-            own = F.coalesce(own, F.concat_ws("_", whole_number(F.col("expert_id")).cast("string"), F.col("answer_id").cast("string")))
+            own = F.coalesce(own, F.concat_ws("_", reference(F.col("expert_id")).cast("string"), F.col("answer_id").cast("string")))
         side = rows.select(
             F.lit(ref.child).alias("child_table"),
             own.alias("child_id"),
             F.lit(ref.parent).alias("parent"),
-            whole_number(F.col(ref.column)).alias("key"),
+            reference(F.col(ref.column)).alias("key"),
             F.col("ingested_at").cast("timestamp_ntz").alias("seen_at"),
             F.date_format("created_at", "yyyy-MM").alias("month"),
         ).where("key is not null")
@@ -168,6 +162,7 @@ cases as (
          when p.ingested_at > r.ingested_at then 'late' end status
   from refs r left join parents p on p.parent = r.parent and p.id = r.k where r.k is not null)
 """
+QUERIES = {"p6_found": p6_found, "p6_report": p6_report}
 ORACLE = {
     "p6_found": _CASES + "select distinct child_table, child_id, status from cases where status is not null",
     "p6_report": _CASES + "select child_table, month, status, count(*) as n from (select distinct child_table, child_id, month, status from cases where status is not null) group by 1, 2, 3",

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from symposia.operators import orphans
+from symposia.operators import analytics, graph, orphans, structure
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "p6_found": orphans.p6_found,
-    "p6_report": orphans.p6_report,
-}
-ORACLE: dict[str, str] = dict(orphans.ORACLE)
+_MODULES = (orphans, structure, analytics, graph)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+for _module in _MODULES:
+    QUERIES |= _module.QUERIES
+    ORACLE |= _module.ORACLE
