@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from symposia.operators import analytics, graph, orphans, structure
+from symposia.operators import analytics, graph, orphans, predicates, reasoning, structure
 
-_MODULES = (orphans, structure, analytics, graph)
+_MODULES = (orphans, structure, analytics, graph, predicates, reasoning)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 for _module in _MODULES:
