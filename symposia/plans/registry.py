@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from symposia.operators import analytics, graph, ontology, orphans, predicates, reasoning, resolve, structure
+from symposia.operators import analytics, extraction, graph, ontology, orphans, predicates, reasoning, resolve, segments, structure
 
-_MODULES = (orphans, structure, analytics, graph, predicates, reasoning, ontology, resolve)
+_MODULES = (orphans, structure, analytics, graph, predicates, reasoning, ontology, resolve, segments, extraction)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 for _module in _MODULES:
