@@ -3,7 +3,7 @@
 Documents and the words they use are the two sides of a graph. Documents that people graded are clamped to their
 grade (basic 0, intermediate 1, advanced 2; the median of several raters), and difficulty spreads over the edges until
 it is harmonic: a word is as difficult as the mean of the documents that use it, a document as the mean of its words,
-rarer words weighing more. The two cuts between the bands are then put where they agree best with all graded
+rarer words weighing more and repeated ones by the root of their number, so that a long text counts by what fills it. The two cuts between the bands are then put where they agree best with all graded
 documents, judged by what their words alone say of them.
 
 One iteration is one pass over the documents' word lists: scores of words go out, partial sums per word come back.
@@ -16,12 +16,13 @@ of the letters that could be told must be English.
 
 Defined results: null and blank texts are in no language and get no band; a document without a word known from
 another one gets the mean difficulty; unknown bands are left out; without any grade there are no bands (no rows);
-ties between languages fall to English, ties of cuts to the lowest.
+ties between languages fall to English, equally good cuts to the middle of the lowest such stretch.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,25 +85,27 @@ def english(text: str | None) -> bool:
     return own > other
 
 
-def terms(text: str) -> list[str]:
-    """Distinct words of two letters or more, in lower case."""
-    return sorted({w.replace("’", "'").strip("'") for w in _TERM.findall(text.lower())})
+def terms(text: str) -> dict[str, int]:
+    """Words of two letters or more, in lower case, with their numbers."""
+    return dict(sorted(Counter(w.replace("’", "'").strip("'") for w in _TERM.findall(text.lower())).items()))
 
 
 def english_terms(docs: DataFrame) -> DataFrame:
-    """(doc_id, terms) of the documents written mainly in English."""
+    """(doc_id, terms, times) of the documents written mainly in English."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, lists = [], []
+            keys, lists, times = [], [], []
             for key, value in zip(batch.column(0), batch.column(1), strict=True):
                 text = value.as_py()
                 if english(text):
                     keys.append(key.as_py())
-                    lists.append(terms(text))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(lists, pa.list_(pa.string()))], names=["doc_id", "terms"])
+                    found = terms(text)
+                    lists.append(list(found))
+                    times.append(list(found.values()))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(lists, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int32()))], names=["doc_id", "terms", "times"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, terms array<string>")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, terms array<string>, times array<int>")
 
 
 def grades(labels: DataFrame) -> DataFrame:
@@ -154,7 +157,8 @@ def harmonic_dense(graph: DataFrame, words: DataFrame, size: int, rounds: int =
                 rows = np.repeat(np.arange(len(lengths)), lengths)
                 grade = batch.column(2).to_numpy(zero_copy_only=False).astype(float)
                 grade = np.where(batch.column(2).is_valid().to_numpy(zero_copy_only=False), grade, np.nan)
-                w = weight[ids]
+                tf = np.sqrt(batch.column(3).flatten().to_numpy(zero_copy_only=False).astype(float))
+                w = weight[ids] * tf
                 den = np.bincount(rows, w, len(lengths))
                 own = np.where(den > 0, np.bincount(rows, w * score[ids], len(lengths)) / np.where(den > 0, den, 1), mean)
                 if out == "docs":
@@ -163,14 +167,14 @@ def harmonic_dense(graph: DataFrame, words: DataFrame, size: int, rounds: int =
                 clamped = np.where(np.isnan(grade), own, grade)
                 use = ~np.isnan(grade) if not known else np.ones(len(grade), bool)
                 at = use[rows]
-                sums += np.bincount(ids[at], clamped[rows[at]], len(weight))
-                hits += np.bincount(ids[at], minlength=len(weight))
+                sums += np.bincount(ids[at], tf[at] * clamped[rows[at]], len(weight))
+                hits += np.bincount(ids[at], tf[at], len(weight))
             if out == "words":
                 some = np.flatnonzero(hits)
                 yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(sums[some]), pa.array(hits[some])], names=["id", "total", "hits"])
 
         schema = "doc_id bigint, grade double, score double" if out == "docs" else "id int, total double, hits double"
-        return graph.select("doc_id", "ids", "grade").mapInArrow(run, schema)
+        return graph.select("doc_id", "ids", "grade", "times").mapInArrow(run, schema)
 
     score = np.full(size, float(mean))
     for turn in range(rounds):
@@ -190,7 +194,8 @@ def harmonic_joined(graph: DataFrame, words: DataFrame, rounds: int = MOST_ROUND
     """The same scores by joins of edges with a table of words, for any size of vocabulary."""
     mean = graph.where("grade is not null").agg(F.avg("grade")).first()[0]
     weights = words.select("id", "weight")
-    edges = cut(graph.select("doc_id", "grade", F.explode("ids").alias("id")).join(weights, "id"))
+    pairs = graph.select("doc_id", "grade", F.explode(F.arrays_zip("ids", "times")).alias("t")).select("doc_id", "grade", F.col("t.ids").alias("id"), F.sqrt(F.col("t.times").cast("double")).alias("tf"))
+    edges = cut(pairs.join(weights, "id").withColumn("weight", F.col("weight") * F.col("tf")))
     scores = weights.select("id", F.lit(float(mean)).alias("score"))
 
     def of_docs(scores: DataFrame) -> DataFrame:
@@ -201,7 +206,7 @@ def harmonic_joined(graph: DataFrame, words: DataFrame, rounds: int = MOST_ROUND
         docs = of_docs(scores).withColumn("f", F.coalesce("grade", "score"))
         if turn == 0:
             docs = docs.where("grade is not null")
-        heard = edges.select("doc_id", "id").join(docs.select("doc_id", "f"), "doc_id").groupBy("id").agg(F.sum("f").alias("total"), F.count(F.lit(1)).alias("hits"))
+        heard = edges.select("doc_id", "id", "tf").join(docs.select("doc_id", "f"), "doc_id").groupBy("id").agg(F.sum(F.col("tf") * F.col("f")).alias("total"), F.sum("tf").alias("hits"))
         extra = 1.0 if turn == 0 else 0.0
         new = cut(
             scores.join(heard, "id", "left").select("id", "score", F.coalesce(F.round((F.col("total") + mean * extra) / (F.col("hits") + extra), 12), "score").alias("new"))
@@ -234,7 +239,14 @@ def best_cuts(scored: DataFrame, bins: int = BINS) -> tuple[float, float] | None
         total = best_first + below[1][j] - below[2][j]
         if total > best[0]:
             best = (total, at, j)
-    return low + best[1] * step, low + best[2] * step
+    # equally good cuts form a plateau (an empty stretch between the bands): its middle is taken
+    def middle(values: np.ndarray, k: int, end: int) -> float:
+        last = k
+        while last < end and values[last + 1] == values[k]:
+            last += 1
+        return (k + last) / 2
+
+    return low + middle(first, best[1], best[2]) * step, low + middle(below[1] - below[2], best[2], bins + 1) * step
 
 
 def reading_levels(docs: DataFrame, labels: DataFrame, dense_words: int = DENSE_WORDS) -> DataFrame:
@@ -244,9 +256,11 @@ def reading_levels(docs: DataFrame, labels: DataFrame, dense_words: int = DENSE_
     if not graph.where("grade is not null").limit(1).count():
         return spark.createDataFrame([], "doc_id bigint, difficulty double, band string")
     words, size = _word_table(graph)
-    numbers = graph.select("doc_id", F.explode("terms").alias("word")).join(F.broadcast(words.select("word", "id")) if size <= dense_words // 5 else words.select("word", "id"), "word")
-    lists = numbers.groupBy("doc_id").agg(F.collect_list("id").alias("ids"))
-    numbered = cut(graph.select("doc_id", "grade").join(lists, "doc_id", "left").select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"), "grade"))
+    numbers = graph.select("doc_id", F.explode(F.arrays_zip("terms", "times")).alias("t")).select("doc_id", F.col("t.terms").alias("word"), F.col("t.times").alias("n")).join(F.broadcast(words.select("word", "id")) if size <= dense_words // 5 else words.select("word", "id"), "word")
+    lists = numbers.groupBy("doc_id").agg(F.collect_list(F.struct("id", "n")).alias("ws"))
+    none = F.array().cast("array<struct<id:int,n:int>>")
+    listed = graph.select("doc_id", "grade").join(lists, "doc_id", "left").select("doc_id", "grade", F.coalesce("ws", none).alias("ws"))
+    numbered = cut(listed.select("doc_id", "grade", F.transform("ws", lambda w: w["id"]).alias("ids"), F.transform("ws", lambda w: w["n"]).alias("times")))
     scored = cut(harmonic_dense(numbered, words, size) if size <= dense_words else harmonic_joined(numbered, words))
     low, high = best_cuts(scored)
     band = F.when(F.col("score") < low, "basic").when(F.col("score") < high, "intermediate").otherwise("advanced")
