@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from symposia.operators import analytics, extraction, graph, metrics, ontology, orphans, predicates, reasoning, resolve, segments, structure, triples
+from symposia.operators import analytics, extraction, graph, linking, metrics, ontology, orphans, predicates, reasoning, resolve, segments, structure, triples
 from symposia.streaming import ingest
 
-_MODULES = (orphans, structure, analytics, graph, predicates, reasoning, ontology, resolve, segments, extraction, triples, metrics, ingest)
+_MODULES = (orphans, structure, analytics, graph, predicates, reasoning, ontology, resolve, segments, extraction, triples, metrics, linking, ingest)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 for _module in _MODULES:
