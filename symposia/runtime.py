@@ -91,3 +91,12 @@ def ship(spark: SparkSession) -> None:
                     archive.write(path, os.path.relpath(path, os.path.dirname(root)))
     sc.addPyFile(target)
     sc._symposia_shipped = True
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` over enough partitions for a costly Python step.
+
+    A scan that already has three tasks a core is left as it lies, as any large table does. A smaller one, whose few
+    uneven splits would leave cores idle, is hash-partitioned by ``keys``; moving it costs little against the step."""
+    wanted = 3 * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, *keys)
