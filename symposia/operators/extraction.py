@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from symposia.functions import columns as C
-from symposia.operators.segments import chunks, term_mentions, texts
+from symposia.operators.segments import _FOUND, chunks, term_mentions, texts
 from symposia.rules import vocabulary as V
 
 Extractor = Callable[[list[str]], list[str]]
@@ -129,4 +129,8 @@ def cooccurrence_edges(spark: SparkSession, base: str, first: int = 30, most: in
 
 
 QUERIES = {"lexicon_entities": lexicon_entities, "cooccurrence_edges": cooccurrence_edges}
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "cooccurrence_edges": f"""with {_FOUND}, g as (select k, term, min(s) lo from f group by 1, 2), r as (select *, row_number() over (partition by k order by lo, term) rn from g),
+p2 as (select a.k, a.term source, b.term target, row_number() over (partition by a.k order by a.rn, b.rn) n from r a join r b on a.k = b.k and a.rn < b.rn where b.rn <= 30)
+select k as origin_key, source, target, cast(0.35 as double) as confidence from p2 where n <= 120""",
+}

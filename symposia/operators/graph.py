@@ -250,4 +250,5 @@ ORACLE = {
 d as (select x node, count(*) degree from s group by 1), t as (select p.x node, count(*) // 2 triangles from s p join s q on p.x = q.x and p.y <> q.y join s r on r.x = p.y and r.y = q.y group by 1)
 select d.node, degree, coalesce(triangles, 0) as triangles, case when degree > 1 then round(2 * coalesce(triangles, 0) / (degree * (degree - 1)), 6) else 0.0 end as coefficient from d left join t using (node)""",
     "page_ranks": f"with {EDGES}, t as (select count(*) c from n), d as (select src, count(*) k from e group by 1), r0 as materialized (select node, 1.0 / c rank from n, t), {_PR} select node, round(rank, 9) as rank from r10",
+    "graph_components": f"with recursive {EDGES}, s as (select src a, tgt b from e union select tgt, src from e union select node, node from n), w(node, seen) as (select a, b from s union select s.a, w.seen from w join s on s.b = w.node) select node, min(seen) as component from w group by 1",
 }

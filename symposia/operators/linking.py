@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from symposia.functions import columns as C
 from symposia.operators.resolve import candidate_pairs, mergeable, registry
-from symposia.operators.predicates import base_relations
+from symposia.operators.predicates import BASE, base_relations
 from symposia.runtime import cut, lookup, read
 
 CONSOLIDATE, LEAST_CONTAINED = 0.93, 4
@@ -123,4 +123,5 @@ _PRIOR = "d0 as (select uri, nullif(regexp_replace(doc_id, '^\\s+|\\s+$', '', 'g
 ORACLE = {
     "quoted_relations": "select distinct uri, strpos(lower(context), lower(q)) - 1 as start_char, strpos(lower(context), lower(q)) - 1 + length(q) as end_char from (select uri, context, nullif(regexp_replace(map_extract_value(metadata, 'evidence_quote'), '^\\s+|\\s+$', '', 'g'), '') q from relations) where q is not null and strpos(lower(context), lower(q)) > 0",
     "document_priors": f"with {_PRIOR} select uri, doc_id, n from pri",
+    "relation_provenance": f"with {BASE}, {_PRIOR}, j as (select r.uri, nullif(regexp_replace(r.doc_id, '^\\s+|\\s+$', '', 'g'), '') own, a.doc_id ds, b.doc_id dt from rel r left join pri a on a.uri = r.source left join pri b on b.uri = r.target) select uri, coalesce(own, ds, dt) as doc_id, case when own is not null then 'own' when ds is not null then 'source' when dt is not null then 'target' else 'none' end as origin from j",
 }

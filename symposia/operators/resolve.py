@@ -160,4 +160,8 @@ r as (select old, min(new) new from r0 where old is not null and new is not null
 w(old, cur, path) as (select old, new, [old, new] from r union all select w.old, r.new, list_append(w.path, r.new) from w join r on r.old = w.cur where not list_contains(w.path, r.new)),
 l as (select old, arg_max(cur, len(path)) new, arg_max(path, len(path)) path from w group by 1)
 select old, new from (select l.old, case when r.new is null then l.new else (select min(x) from (select unnest(list_slice(l.path, list_position(l.path, r.new), len(l.path))) x)) end new from l left join r on r.old = l.new) where old <> new""",
+    "label_keys": f"""with l as (select distinct label from entities where label is not null), w as (select label, list_filter(string_split_regex({_LKEY}, '[ _/:-]+'), lambda x: x <> '') ws from l),
+t as (select label, list_sort(list_distinct(case when len(ws) > 1 and list_contains([{", ".join(f"'{x}'" for x in V.COMPANY_SUFFIXES)}], ws[-1]) then ws[:-2] else ws end)) ws from w)
+select label, {_KEY} as match_key, array_to_string(ws, ' ') as tokens, regexp_full_match(label, '[A-Z0-9_-]{{2,}}') and regexp_matches(label, '[A-Z]') and regexp_full_match(regexp_replace(label, '[-_]', '', 'g'), '[A-Z0-9]+') as acronym,
+  regexp_replace(regexp_replace(lower(label), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') as slug from t""",
 }
