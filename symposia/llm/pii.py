@@ -7,7 +7,7 @@ so an item across a border is found once and whole. Items are then checked exact
 and punctuation that is not theirs, end at word borders, and must hold what their kind must hold (an at-sign, so many
 digits, two words). The model is trained in ``pii_training``; its weights come with the package.
 
-The step is narrow (no shuffle), batches are bounded by characters, not by rows, and whole texts are read however
+The step is narrow (only a scan of few splits is spread first), batches are bounded by characters, not by rows, and whole texts are read however
 long. Defined results: null, empty and blank texts have no items; equal texts have equal items; offsets count code
 points of the text as stored. ``redact`` replaces each item by its placeholder and leaves every other character.
 """
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from symposia.llm.pii_model import N_TAGS, TAGS, emissions, encode, viterbi, weights
-from symposia.runtime import read
+from symposia.runtime import read, spread
 
 WINDOW, OVERLAP, BATCH = 256, 64, 192
 CHUNK_CHARS = 300_000
@@ -210,7 +210,7 @@ def redacted(texts: DataFrame) -> DataFrame:
 def free_text(spark: SparkSession, base: str) -> DataFrame:
     bios = read(spark, base, "experts").select(F.lit("experts").alias("origin"), F.col("id").alias("record_id"), F.col("bio").alias("text"))
     bodies = read(spark, base, "answers").select(F.lit("answers").alias("origin"), F.col("id").alias("record_id"), F.col("body").alias("text"))
-    return bios.unionByName(bodies)
+    return spread(bios.unionByName(bodies), "origin", "record_id")
 
 
 def p5_found(spark: SparkSession, base: str) -> DataFrame:
