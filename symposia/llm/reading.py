@@ -257,10 +257,11 @@ def reading_levels(docs: DataFrame, labels: DataFrame, dense_words: int = DENSE_
         return spark.createDataFrame([], "doc_id bigint, difficulty double, band string")
     words, size = _word_table(graph)
     numbers = graph.select("doc_id", F.explode(F.arrays_zip("terms", "times")).alias("t")).select("doc_id", F.col("t.terms").alias("word"), F.col("t.times").alias("n")).join(F.broadcast(words.select("word", "id")) if size <= dense_words // 5 else words.select("word", "id"), "word")
-    lists = numbers.groupBy("doc_id").agg(F.collect_list(F.struct("id", "n")).alias("ws"))
-    none = F.array().cast("array<struct<id:int,n:int>>")
+    # a word and its number travel as one long: an array of structs takes four times the room in the shuffle
+    lists = numbers.groupBy("doc_id").agg(F.collect_list(F.shiftleft(F.col("id").cast("bigint"), 31) + F.col("n")).alias("ws"))
+    none = F.array().cast("array<bigint>")
     listed = graph.select("doc_id", "grade").join(lists, "doc_id", "left").select("doc_id", "grade", F.coalesce("ws", none).alias("ws"))
-    numbered = cut(listed.select("doc_id", "grade", F.transform("ws", lambda w: w["id"]).alias("ids"), F.transform("ws", lambda w: w["n"]).alias("times")))
+    numbered = cut(listed.select("doc_id", "grade", F.transform("ws", lambda w: F.shiftright(w, 31).cast("int")).alias("ids"), F.transform("ws", lambda w: w.bitwiseAND((1 << 31) - 1).cast("int")).alias("times")))
     scored = cut(harmonic_dense(numbered, words, size) if size <= dense_words else harmonic_joined(numbered, words))
     low, high = best_cuts(scored)
     band = F.when(F.col("score") < low, "basic").when(F.col("score") < high, "intermediate").otherwise("advanced")
