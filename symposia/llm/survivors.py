@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from symposia.runtime import read
+from symposia.runtime import cut, lookup, read
 
 #: Trust by extractor named in metadata; anything else counts as UNKNOWN_TRUST.
 TRUST = {"manual": 1.0, "llm": 0.8, "vote": 0.7, "reasoner": 0.5, "lightweight": 0.4}
@@ -72,6 +72,10 @@ def survivors(relations: DataFrame) -> DataFrame:
         .groupBy(*group, "uri")
         .agg(F.min("rank").alias("rank"), F.max("vote").alias("vote"), *[first(F.col(k)).alias(k) for k in texts])
     )
+    # only groups of two uris or more have anything to decide: the others are not unpivoted
+    records = cut(records)
+    rivals = records.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*group)
+    records = lookup(records, rivals, group, "inner")
     pairs = F.array(*[F.struct(F.lit(k).alias("field"), F.col(k).alias("value")) for k in ("uri", *texts)])
     long = records.select(*group, "rank", "vote", F.explode(pairs).alias("f")).select(*group, "rank", "vote", "f.*")
     long = long.where("value is not null")
