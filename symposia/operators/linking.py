@@ -10,11 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from symposia.functions import columns as C
-from symposia.operators.resolve import candidate_pairs, mergeable, registry
+from symposia.operators.resolve import mergeable, registry
 from symposia.operators.predicates import BASE, base_relations
 from symposia.runtime import cut, lookup, read
 
 CONSOLIDATE, LEAST_CONTAINED = 0.93, 4
+#: Length of the grams by which keys meet; no more than LEAST_CONTAINED, nor than a segment of eight characters' key.
+GRAM = 4
 
 
 def greedy_absorption(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -38,13 +40,56 @@ def greedy_absorption(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     return absorbed if absorbed is not None else nodes.where("false").select("node", F.col("node").alias("into"))
 
 
-def consolidation(spark: SparkSession, base: str) -> DataFrame:
-    """(node, into): entities of one type absorbed by an earlier one whose label key is nearly the same or contains it.
-
-    Order is confidence, then uri. Candidates share a block word (see ``candidate_pairs``)."""
-    rows = cut(registry(spark, base).where(mergeable(F.col("entity_type"), F.col("label"))).withColumn("key", C.match_key(F.col("label"))))
-    keys = rows.select(F.col("uri"), F.col("key"))
-    pairs = candidate_pairs(rows).join(keys.select(F.col("uri").alias("a"), F.col("key").alias("ka")), "a").join(keys.select(F.col("uri").alias("b"), F.col("key").alias("kb")), "b")
+def near_keys(keys: DataFrame) -> DataFrame:
+    """(a, b) of nodes of one type, the shorter key first: every pair of keys of which one may contain the other or whose
+    ratio may reach CONSOLIDATE.
+
+    ``keys`` (node, entity_type, key), keys distinct in a type. The longer key offers all its grams of GRAM characters.
+    Containment: a contained key has each of its grams in the longer one, so its rarest is looked up. Ratio: the longer
+    key differs by at most ``slips`` dropped or added characters, each of which touches one of slips + 1 disjoint
+    segments, so one segment is whole in both, moved by no more than the slips; the rarest gram of each is looked up
+    among keys of each length that can reach the ratio. Nothing depends on the size of the table. Keys of seven
+    characters, the shortest that can differ, have segments of three."""
+    size = F.length("key")
+    longest = F.floor(size * (2 / CONSOLIDATE - 1) + 1e-9).cast("int")
+    slips = F.floor((1 - CONSOLIDATE) * (size + longest) + 1e-9).cast("int")
+    rows = keys.where(size > 0).select("node", "entity_type", "key", size.alias("size"), longest.alias("longest"), slips.alias("slips"))
+    grams = lambda q: F.transform(F.sequence(F.lit(0), F.col("size") - q), lambda i: F.struct(F.lit(q).alias("q"), i.alias("pos"), F.substr("key", i + 1, F.lit(q)).alias("gram")))
+    none = grams(GRAM - 1)
+    every = F.concat(F.when(F.col("size") >= GRAM, grams(GRAM)).otherwise(F.slice(none, 1, 0)), F.when(F.col("size").isin(2 * GRAM - 1, 2 * GRAM), none).otherwise(F.slice(none, 1, 0)))
+    index = cut(rows.where(F.col("size") >= GRAM - 1).withColumn("g", F.explode(every)).select("node", "entity_type", "key", "size", "longest", "slips", "g.*"))
+    counts = index.groupBy("entity_type", "gram").agg(F.count(F.lit(1)).alias("n"))
+    known = cut(index.join(counts, ["entity_type", "gram"]))
+    rare = F.struct("n", "gram", "pos")
+    inner = known.where(F.col("q") == GRAM).groupBy("node").agg(F.first("entity_type").alias("entity_type"), F.first("key").alias("short"), F.min_by("gram", rare).alias("gram"))
+    long = index.select(F.col("node").alias("b"), "entity_type", F.col("key").alias("long"), F.col("size").alias("long_size"), F.col("pos").alias("at"), "q", "gram")
+    held = inner.withColumnRenamed("node", "a").join(long.where(F.col("q") == GRAM), ["entity_type", "gram"]).where((F.length("long") > F.length("short")) & F.contains("long", "short")).select("a", "b")
+    segment = lambda pos: F.floor(pos * (F.col("slips") + 1) / F.col("size"))
+    whole = known.where((F.col("slips") > 0) & (F.col("q") == F.when(F.col("size") < 2 * GRAM, GRAM - 1).otherwise(GRAM)))
+    whole = whole.withColumn("segment", segment(F.col("pos"))).where(F.col("segment") == segment(F.col("pos") + F.col("q") - 1))
+    parts = whole.groupBy("node", "segment").agg(*[F.first(c).alias(c) for c in ("entity_type", "key", "size", "longest", "q")], F.min_by(F.struct("gram", "pos"), rare).alias("g"))
+    parts = parts.select(F.col("node").alias("a"), "entity_type", F.col("key").alias("short"), "size", "q", "g.*", F.explode(F.sequence("size", "longest")).alias("long_size"))
+    alike = parts.join(long, ["entity_type", "q", "gram", "long_size"]).where("a <> b")
+    # a bound on slips is one on typing errors, which are cheaper to count than the ratio
+    most = (1 - CONSOLIDATE) * (F.col("size") + F.col("long_size")) + 1e-9
+    alike = alike.where(F.abs(F.col("pos") - F.col("at")) <= most).select("a", "b", "short", "long", most.alias("most")).distinct()
+    return held.unionByName(alike.where(F.levenshtein("short", "long") <= F.col("most")).select("a", "b")).distinct()
+
+
+def absorbed_keys(rows: DataFrame) -> DataFrame:
+    """(node, into) of ``consolidation`` for rows (uri, entity_type, confidence, key).
+
+    Uris of one key have the same partners, so the first of them takes part for all: where it stays, the others go to
+    it, and where it is absorbed, they go the same way."""
+    # the order of a uri is a sortable text: falling confidence, then the uri
+    order = F.concat(F.format_number(F.lit(10.0) - F.col("confidence"), 3), F.lit("|"), F.col("uri"))
+    rows = rows.where("key <> ''").withColumn("ord", order)
+    keys = cut(rows.groupBy("entity_type", "key").agg(F.min_by("uri", "ord").alias("node"), F.min("ord").alias("ord")))
+    side = lambda s: keys.select(F.col("node").alias(s), F.col("key").alias(f"k{s}"), F.col("ord").alias(f"o{s}"))
+    pairs = near_keys(keys.select("node", "entity_type", "key")).join(side("a"), "a").join(side("b"), "b")
+    # the ratio depends on the order of its arguments: the earlier key comes first
+    ahead = F.col("oa") < F.col("ob")
+    pairs = pairs.select("a", "b", F.when(ahead, F.col("ka")).otherwise(F.col("kb")).alias("ka"), F.when(ahead, F.col("kb")).otherwise(F.col("ka")).alias("kb"))
 
     def near(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -54,10 +99,17 @@ def consolidation(spark: SparkSession, base: str) -> DataFrame:
                 keep.append((len(short) >= LEAST_CONTAINED and short in long) or SequenceMatcher(None, x, y).ratio() >= CONSOLIDATE)
             yield pdf.loc[keep, ["a", "b"]]
 
-    kept = pairs.mapInPandas(near, "a string, b string")
-    # the order of a uri is a sortable text: falling confidence, then the uri
-    order = rows.select(F.col("uri").alias("node"), F.concat(F.format_number(F.lit(10.0) - F.col("confidence"), 3), F.lit("|"), F.col("uri")).alias("ord"))
-    return greedy_absorption(order, kept)
+    into = greedy_absorption(keys.select("node", "ord"), pairs.mapInPandas(near, "a string, b string"))
+    heads = keys.select("entity_type", "key", "node").join(into, "node", "left").select("entity_type", "key", F.coalesce("into", "node").alias("into"))
+    return rows.join(heads, ["entity_type", "key"]).where("uri <> into").select(F.col("uri").alias("node"), "into")
+
+
+def consolidation(spark: SparkSession, base: str) -> DataFrame:
+    """(node, into): entities of one type absorbed by an earlier one whose label key is nearly the same or contains it.
+
+    Order is confidence, then uri. A label without letters a-z and digits has no key and is left alone."""
+    rows = registry(spark, base).where(mergeable(F.col("entity_type"), F.col("label"))).withColumn("key", C.match_key(F.col("label")))
+    return absorbed_keys(cut(rows.select("uri", "entity_type", "confidence", "key")))
 
 
 def candidate_links(labels: DataFrame, candidates: DataFrame, least: float = 0.65) -> DataFrame:

@@ -55,6 +55,36 @@ def test_fuzzy_pairs_miss_nothing_in_a_large_block(spark):
                 assert frozenset((f"u{i}", f"u{j}")) in got
 
 
+def test_consolidation_misses_no_pair(spark):
+    """Containment and ratio, in words and characters, equal the pass over all pairs of a type."""
+    r = random.Random(5)
+    words = ["privacy", "data", "fairness", "bias", "explainability", "policy", "risk", "governance", "algorithmic", "x", "audit7"]
+    keys = {" ".join(r.sample(words, r.randint(1, 6))) for _ in range(70)} | {"privacy", "differential data privacy", "fairness", "algorithmic fairness policy", "model", "modelss", "modxelss"}
+    for key in sorted(keys):
+        for _ in range(2):
+            k = r.randrange(len(key))
+            keys |= {key[:k] + key[k + 1 :], key[:k] + r.choice("aeqz ") + key[k:], key[:k] + key[k + 1 : k + 2] + key[k : k + 1] + key[k + 2 :]}
+    keys = sorted({" ".join(k.split()) for k in keys} - {""})
+    rows = [(f"u{i:03}", r.choice("AB") if i % 7 == 0 else "A", round(r.random(), 3), k) for i, k in enumerate([*keys, *keys[:20]])]
+    order = sorted(rows, key=lambda x: (f"{10 - x[2]:.3f}", x[0]))
+    want, gone = {}, set()
+    for i, (a, kind, _, x) in enumerate(order):
+        for b, other, _, y in order[i + 1 :] if a not in gone else []:
+            if b not in gone and kind == other:
+                short, long = sorted((x, y), key=len)
+                if (len(short) >= 4 and short in long) or SequenceMatcher(None, x, y).ratio() >= 0.93:
+                    gone.add(b)
+                    want[b] = a
+    got = linking.absorbed_keys(spark.createDataFrame([*rows, ("n1", "A", 0.5, ""), ("n2", "A", 0.5, "")], "uri string, entity_type string, confidence double, key string"))
+    assert {x.node: x.into for x in got.collect()} == want
+
+
+def test_consolidation_meets_beyond_the_first_words(spark, tables):
+    labels = ["privacy", "differential data privacy", "explainability", "explainabilty", "\u6570\u636e \u9690\u79c1", "\u6570\u636e \u5b89\u5168"]
+    base = tables(entities=[{"uri": f"u{i}", "label": x, "entity_type": "Risk", "confidence": 0.9} for i, x in enumerate(labels)])
+    assert {x.node: x.into for x in linking.consolidation(spark, base).collect()} == {"u1": "u0", "u3": "u2"}
+
+
 def test_config(tmp_path):
     path = tmp_path / "c.json"
     path.write_text(json.dumps({"fuzzy_threshold": 0.9, "unknown": 1}))
