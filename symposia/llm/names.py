@@ -6,8 +6,8 @@ institute, ...) and its subject. Records with the same node are one spelling; th
 frequency. Each spelling is then attributed to the canonical form of greatest posterior among the spellings whose
 name lies within one typing error (found through deletion neighbourhoods, an exact equi-join, never by comparing all
 with all): prior = frequency of the canonical form, likelihood = typing errors of every part, short forms, initials,
-abbreviated or missing parts. A spelling that is itself frequent keeps to itself, because the same slip is hardly
-made three times. Attributions are then followed to their ends by the components operator.
+abbreviated or missing parts. A spelling seen more often than slips of the canonical form can explain keeps to
+itself; a slip of a far more frequent name may recur. Attributions are then followed to their ends by the components operator.
 
 Defined results: a null or empty label falls back to the decision's norm_label, and a record without either names
 nobody; decisions repeated under one id are one record; labels in which no name is found (punctuation, a title
@@ -270,9 +270,17 @@ def log_posterior(kind: str, name: str, rest: str, n: int, to_name: str, to_rest
     errors = typing_errors(name, to_name)
     if errors > 1 and not (errors == 2 and min(len(name), len(to_name)) >= 8):
         return None
-    # the same slip would have to be made by each of the n records
-    slip = (0.0, math.log(P_TYPO), math.log(P_TYPO_MORE))[errors]
-    return math.log(to_n) + math.log(p) + slip * n
+    if not errors:
+        return math.log(to_n) + math.log(p)
+    return math.log(p) + log_slips(n, to_n * (P_TYPO if errors == 1 else P_TYPO_MORE))
+
+
+def log_slips(n: int, expected: float) -> float:
+    """Log score of ``n`` records with one slip where so many are expected: the slip counts once, and copies beyond the
+    expected ones count by how much rarer they are in a Poisson law."""
+    usual = max(1.0, expected)
+    log = math.log(expected)
+    return log + (((n - usual) * log - math.lgamma(n + 1) + math.lgamma(usual + 1)) if n > usual else 0.0)
 
 
 def records(spark: SparkSession, base: str) -> DataFrame:

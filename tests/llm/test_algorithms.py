@@ -110,6 +110,14 @@ def test_a_frequent_spelling_is_nobodys_slip(spark, tables):
     assert len(found) == 20
 
 
+@pytest.mark.parametrize("slips,copies,linked", [(5, 300, True), (3, 60, True), (20, 60, False)])
+def test_a_slip_of_a_far_more_frequent_name_may_recur(spark, tables, slips, copies, linked):
+    labels = ["Robert Zamunoka"] * copies + ["Robert Zamunoko"] * slips
+    rows = [{"uri": f"u{i}", "label": x, "entity_type": "person"} for i, x in enumerate(labels)]
+    sizes = {r.records for r in names.p2_groups(spark, tables(entities=rows)).collect()}
+    assert sizes == ({slips + copies} if linked else {slips, copies})
+
+
 # --- 3: components
 
 
