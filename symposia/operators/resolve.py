@@ -94,12 +94,37 @@ def fuzzy_pairs(spark: SparkSession, base: str, threshold: float = FUZZY) -> Dat
     return able.select("a", "b", "la", "lb", "jaccard").mapInPandas(score, "a string, b string, score double")
 
 
+def external_ids(spark: SparkSession, base: str) -> DataFrame:
+    """(uri, id): the external identifier of a uri, from the first of the metadata's fields that holds one; the least among equals."""
+    field = lambda k: F.col("metadata")[k]
+    nested = [F.get_json_object(field(k), f"$.{x}") for k in ("wikidata", "wikidata_match") for x in ("qid", "id", "uri")]
+    every = [*[field(k) for k in ("external_id", "wikidata_uri", "doi", "url", "qid", "wikidata_id")], *nested]
+    found = F.filter(F.array(*[F.struct(F.lit(i).alias("at"), C.external_id(C.blank_to_null(v)).alias("id")) for i, v in enumerate(every)]), lambda x: x["id"].isNotNull())
+    rows = read(spark, base, "entities").where("uri is not null and metadata is not null").select("uri", F.array_min(found).alias("x")).where("x is not null")
+    return rows.groupBy("uri").agg(F.min("x")["id"].alias("id"))
+
+
+def to_first(rows: DataFrame, on: list[str]) -> DataFrame:
+    """(a, b): every uri and the least one that is equal to it in ``on``."""
+    firsts = rows.groupBy(*on).agg(F.min("uri").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return lookup(rows.select("uri", *on), firsts, on, "inner").where("uri <> b").select(F.col("uri").alias("a"), "b")
+
+
+def same_identity(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """(a, b) of one external identifier, whatever the type (E5), and of one match label and coarse type among uris without
+    an identifier (E6); besides, each uri's tie to the one that stands for its label in ``fuzzy_pairs``."""
+    keyed = cut(rows.select("uri", "entity_type", "label", coarse_type(F.col("entity_type"), F.col("ontology_uri")).alias("coarse"), C.match_label(F.col("label")).alias("key")).where("key <> ''"))
+    stand = to_first(keyed.where(mergeable(F.col("entity_type"), F.col("label"))), ["entity_type", "key"])
+    return to_first(ids, ["id"]).unionByName(to_first(keyed.join(ids, "uri", "left_anti"), ["coarse", "key"])).unionByName(stand)
+
+
 def canonical_entities(spark: SparkSession, base: str) -> DataFrame:
-    """(uri, canonical, rule): every entity with the one that stands for it, by exact key and fuzzy match, to the end."""
+    """(uri, canonical, rule): every entity with the one that stands for it, by exact key, external
+    identifier, match label and fuzzy match, to the end."""
     rows = cut(registry(spark, base))
     exact = exact_groups(spark, base).select(F.col("uri").alias("a"), F.col("canonical").alias("b"))
     fuzzy = fuzzy_pairs(spark, base).select("a", "b")
-    groups = connected_components(exact.unionByName(fuzzy)).withColumnRenamed("node", "uri")
+    groups = connected_components(exact.unionByName(same_identity(rows, cut(external_ids(spark, base)))).unionByName(fuzzy)).withColumnRenamed("node", "uri")
     placed = rows.join(groups, "uri")
     best = placed.groupBy("component").agg(F.max_by("uri", F.struct("confidence", F.length("label"), "label", "uri")).alias("canonical"))
     out = lookup(placed.select("uri", "component"), best, ["component"], "inner").select("uri", "canonical")

@@ -85,6 +85,22 @@ def test_consolidation_meets_beyond_the_first_words(spark, tables):
     assert {x.node: x.into for x in linking.consolidation(spark, base).collect()} == {"u1": "u0", "u3": "u2"}
 
 
+def test_one_match_label_is_one_entity(spark, tables):
+    """Aliases and labels of other scripts have no common match key; another type stays apart."""
+    rows = [("u0", "GDPR", "Regulation"), ("u1", "General Data Protection Regulation", "Regulation"), ("u2", "\u6570\u636e\u9690\u79c1", "Risk"), ("u3", "\u6570\u636e\u9690\u79c1", "Risk"), ("u4", "GDPR", "Model"), ("u5", "\u6570\u636e\u5b89\u5168", "Risk")]
+    base = tables(entities=[{"uri": u, "label": x, "entity_type": k, "confidence": 0.9} for u, x, k in rows])
+    got = {x.uri: x.canonical for x in resolve.canonical_entities(spark, base).collect()}
+    assert got["u0"] == got["u1"] and got["u2"] == got["u3"]
+    assert len(set(got.values())) == 4
+
+
+def test_external_identifiers_and_classes(spark, tables):
+    rows = [("u0", "Acme Risk", "Risk", None, {"qid": "q42"}), ("u1", "Something else", "Model", None, {"doi": " ", "wikidata": '{"id": "Q42"}'}), ("u2", "HMDA", "Law", "airo:Rule", None), ("u3", "Home Mortgage Disclosure Act", "Rule", None, {"url": " "})]
+    base = tables(entities=[{"uri": u, "label": x, "entity_type": k, "ontology_uri": o, "metadata": m, "confidence": 0.9} for u, x, k, o, m in rows])
+    got = {x.uri: x.canonical for x in resolve.canonical_entities(spark, base).collect()}
+    assert got["u0"] == got["u1"] and got["u2"] == got["u3"] and got["u0"] != got["u2"]
+
+
 def test_config(tmp_path):
     path = tmp_path / "c.json"
     path.write_text(json.dumps({"fuzzy_threshold": 0.9, "unknown": 1}))
