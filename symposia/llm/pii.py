@@ -3,13 +3,17 @@
 A character-level bidirectional LSTM scores the tags of every character; a CRF over all characters of a text decides.
 Texts are read in windows of ``WINDOW`` characters that overlap by ``OVERLAP``; each character takes its scores from
 the window in which it lies farther from the edge, and one Viterbi pass over the whole text reconciles the windows,
-so an item across a border is found once and whole. Items are then checked exactly: they are trimmed of white space
-and punctuation that is not theirs, end at word borders, and must hold what their kind must hold (an at-sign, so many
-digits, two words). The model is trained in ``pii_training``; its weights come with the package.
-
-The step is narrow (only a scan of few splits is spread first), batches are bounded by characters, not by rows, and whole texts are read however
-long. Defined results: null, empty and blank texts have no items; equal texts have equal items; offsets count code
-points of the text as stored. ``redact`` replaces each item by its placeholder and leaves every other character.
+so an item across a border is found once and whole. Items are then trimmed of white space and punctuation that is not
+theirs and end at word borders; what cannot be an item of its kind is dropped: an e-mail address without an at-sign, a
+phone number of fewer than 7 or more than 16 digits, an identity number of fewer than 5 digits, an address without a
+digit, a word and ``ADDRESS_PARTS`` parts (street and town, set apart by a comma or a line end), a name of one word or with a digit. The model is trained in ``pii_training``; its weights come with the package.
+
+The step is narrow (only a scan of few splits is spread first), batches are bounded by characters, not by rows, and
+whole texts are read however long: beyond ``LONG_CHARS`` a text is scored and decoded block by block, with the same
+result. Windows are computed in batches of one fixed width, each from its own first character, so that an item does not
+depend on what is read beside it. Defined results: null, empty and blank texts have no items; equal texts have equal
+items; offsets count code points of the text as stored. ``redact`` replaces each item by its placeholder and leaves
+every other character.
 """
 
 from __future__ import annotations
@@ -22,11 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from symposia.llm.pii_model import N_TAGS, TAGS, emissions, encode, viterbi, weights
+from symposia.llm.pii_model import N_TAGS, PAD, TAGS, encode, scores, viterbi, viterbi_blocks, weights
 from symposia.runtime import read, spread
 
-WINDOW, OVERLAP, BATCH = 256, 64, 192
+WINDOW, OVERLAP, BATCH = 512, 64, 128
 CHUNK_CHARS = 300_000
+#: A text longer than this is scored and decoded in blocks, which gives the same tags.
+LONG_CHARS = 2_000_000
+ADDRESS_PARTS = 2
 PLACEHOLDER = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID_NUMBER]", "address": "[ADDRESS]", "name": "[NAME]"}
 _TRIM_LEFT = " \t\r\n\"'“”‘’<>([{,;:.!?|—–-=*/ "
 _TRIM_RIGHT = " \t\r\n\"'“”‘’<>([{,;:!?|—–-=*/ "
@@ -34,52 +41,74 @@ _TITLE = re.compile(r"(?:(?:dr|prof|mr|mrs|ms|mx|miss|professor|doctor|sir)\b\.?
 _INITIAL_END = re.compile(r"(?:^|[\s.])[^\W\d_]$")
 
 
-def _scores(codes: list[np.ndarray], w: dict[str, np.ndarray]) -> list[np.ndarray]:
-    """Tag scores of every character of every text, stitched from overlapping windows."""
-    out = [np.zeros((len(c), N_TAGS), np.float32) for c in codes]
-    windows = []
-    for k, c in enumerate(codes):
-        at = 0
-        while True:
-            end = min(len(c), at + WINDOW)
-            windows.append((end - at, k, at))
-            if end == len(c):
-                break
-            at += WINDOW - OVERLAP
+def _windows(n: int) -> list[tuple[int, int]]:
+    """(start, length) of the windows of a text of ``n`` characters."""
+    out, at = [], 0
+    while at + WINDOW < n:
+        out.append((at, WINDOW))
+        at += WINDOW - OVERLAP
+    return [*out, (at, n - at)]
+
+
+def _fill(windows: list[tuple[int, int, int]], codes: list[np.ndarray], out: list[np.ndarray], base: int, w: dict[str, np.ndarray]) -> None:
+    """Write the scores of (length, text, start) windows, each in its part of the text, into ``out`` from ``base`` on.
+
+    Every batch has BATCH columns, filled or not, and each direction starts at the window's own first character, so the
+    sums of a window do not depend on what is read beside it."""
     windows.sort()
     for b in range(0, len(windows), BATCH):
         part = windows[b : b + BATCH]
-        x = np.full((part[-1][0], len(part)), 95, np.uint8)
+        steps = part[-1][0] + part[-1][0] % 2
+        x, y = np.full((steps, BATCH), PAD, np.uint8), np.full((steps, BATCH), PAD, np.uint8)
         for j, (n, k, at) in enumerate(part):
+            m = n + n % 2
             x[:n, j] = codes[k][at : at + n]
-        e = emissions(x, w)
+            y[:m, j] = x[:m, j].reshape(-1, 2)[::-1].reshape(-1)
+        forward, backward = scores(x, y, w)
         for j, (n, k, at) in enumerate(part):
+            m = (n + n % 2) // 2
+            e = (forward[:m, j] + backward[:m, j][::-1]).reshape(-1, N_TAGS)
             head = OVERLAP // 2 if at else 0
             tail = n if at + n == len(codes[k]) else n - OVERLAP // 2
-            out[k][at + head : at + tail] = e[head:tail, j]
-    return out
+            out[k][at + head - base : at + tail - base] = e[head:tail]
 
 
-def _decode(scores: list[np.ndarray], w: dict[str, np.ndarray]) -> list[np.ndarray]:
-    tags: list[np.ndarray] = [None] * len(scores)
-    order = sorted(range(len(scores)), key=lambda k: len(scores[k]))
-    b = 0
+def _tags(codes: list[np.ndarray], w: dict[str, np.ndarray]) -> list[np.ndarray]:
+    """Tags of every character of every text; scores are stitched from overlapping windows, then decoded as one sequence."""
+    tags: list[np.ndarray] = [np.empty(0, np.uint8)] * len(codes)
+    short = [k for k, c in enumerate(codes) if 0 < len(c) <= LONG_CHARS]
+    out = {k: np.empty((len(codes[k]), N_TAGS), np.float32) for k in short}
+    _fill([(n, k, at) for k in short for at, n in _windows(len(codes[k]))], codes, out, 0, w)
+    order, b = sorted(short, key=lambda k: len(codes[k])), 0
     while b < len(order):
         # neighbours of like length together; long texts in smaller company
-        size = max(1, min(128, CHUNK_CHARS // max(1, len(scores[order[b]]))))
-        part = order[b : b + size]
-        b += size
-        longest = len(scores[part[-1]])
-        e = np.full((longest, len(part), N_TAGS), -50, np.float32)
-        e[:, :, 0] = 0
+        part = order[b : b + max(1, min(128, CHUNK_CHARS // len(codes[order[b]])))]
+        b += len(part)
+        lengths = np.array([len(codes[k]) for k in part])
+        e = np.zeros((lengths[-1], N_TAGS, len(part)), np.float32)
         for j, k in enumerate(part):
-            e[: len(scores[k]), j] = scores[k]
-        best = viterbi(e, w)
+            e[: lengths[j], :, j] = out[k]
+        best = viterbi(e, lengths, w)
         for j, k in enumerate(part):
-            tags[k] = best[: len(scores[k]), j]
+            tags[k] = best[: lengths[j], j]
+    for k, c in enumerate(codes):
+        if len(c) > LONG_CHARS:
+            tags[k] = viterbi_blocks(_score_blocks(c, w), w)
     return tags
 
 
+def _score_blocks(code: np.ndarray, w: dict[str, np.ndarray]) -> Iterator[np.ndarray]:
+    """The scores of one very long text, a few batches of windows at a time."""
+    windows = _windows(len(code))
+    for b in range(0, len(windows), 4 * BATCH):
+        part = windows[b : b + 4 * BATCH]
+        first = part[0][0] + (OVERLAP // 2 if part[0][0] else 0)
+        last = len(code) if b + 4 * BATCH >= len(windows) else part[-1][0] + part[-1][1] - OVERLAP // 2
+        block = np.empty((last - first, N_TAGS), np.float32)
+        _fill([(n, 0, at) for at, n in part], [code], [block], first, w)
+        yield block
+
+
 def _checked(text: str, start: int, end: int, kind: str) -> tuple[int, int, str] | None:
     """The exact extent of a found item, or None where it cannot be one."""
     # out to the borders of the words it begins and ends in
@@ -122,7 +151,7 @@ def _checked(text: str, start: int, end: int, kind: str) -> tuple[int, int, str]
     elif kind == "id_number":
         good = n_digits >= 5 and len(body) >= 7
     elif kind == "address":
-        good = n_digits >= 1 and 8 <= len(body) <= 160 and len(re.findall(r"[^\W\d_]{3,}", body)) >= 1 and any(c.isspace() for c in body) and "," in body
+        good = n_digits >= 1 and len(body) >= 8 and len(re.findall(r"[^\W\d_]{3,}", body)) >= 1 and body.count(",") + body.count("\n") + 1 >= ADDRESS_PARTS
     else:
         words = re.findall(r"[^\W\d_]+", body)
         good = len(words) >= 2 and n_digits == 0 and max(map(len, words)) >= 3 and "@" not in body
@@ -133,7 +162,7 @@ def find_items(texts: list[str], w: dict[str, np.ndarray] | None = None) -> list
     """Per text: (start, end, kind) of its personal items, in order, not overlapping."""
     w = w or weights()
     codes = [encode(t) for t in texts]
-    tags = _decode(_scores(codes, w), w)
+    tags = _tags(codes, w)
     out = []
     for text, seq in zip(texts, tags, strict=True):
         items: list[tuple[int, int, str]] = []

@@ -1,4 +1,7 @@
-"""Character-level bidirectional LSTM with CRF transitions, in numpy: forward pass, decoding and gradients."""
+"""Character-level bidirectional LSTM with CRF transitions, in numpy: forward pass, decoding and gradients.
+
+The network reads two characters at a time (the sum of an embedding of the first and one of the second) and scores the
+tags of both, which halves its steps; the CRF runs over single characters. A sequence of odd length is padded by one."""
 
 from __future__ import annotations
 
@@ -15,6 +18,7 @@ HIDDEN = 48
 # characters: 95 printable ASCII, then classes of the others
 _OTHER = {"pad": 95, "newline": 96, "space": 97, "lower": 98, "upper": 99, "digit": 100, "mark": 101, "rest": 102, "ss": 103, "invisible": 104}
 VOCAB = 105
+PAD = _OTHER["pad"]
 
 #: Transitions a tag sequence can never make: into the inside of an item that has not begun.
 FORBIDDEN = np.zeros((N_TAGS, N_TAGS), dtype=bool)
@@ -64,18 +68,29 @@ def start_weights(seed: int = 1, hidden: int = HIDDEN) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     w: dict[str, np.ndarray] = {}
     for side in "fb":
-        w[f"x{side}"] = rng.normal(0, 0.3, (VOCAB, 4 * hidden)).astype(np.float32)
+        w[f"x{side}1"] = rng.normal(0, 0.25, (VOCAB, 4 * hidden)).astype(np.float32)
+        w[f"x{side}2"] = rng.normal(0, 0.25, (VOCAB, 4 * hidden)).astype(np.float32)
         w[f"h{side}"] = rng.normal(0, 1 / np.sqrt(hidden), (hidden, 4 * hidden)).astype(np.float32)
-        w[f"x{side}"][:, hidden : 2 * hidden] += 1.0  # forget gates start open
-    w["out"] = rng.normal(0, 0.2, (2 * hidden, N_TAGS)).astype(np.float32)
-    w["bias"] = np.zeros(N_TAGS, np.float32)
+        w[f"x{side}1"][:, hidden : 2 * hidden] += 1.0  # forget gates start open
+    w["out"] = rng.normal(0, 0.2, (2 * hidden, 2 * N_TAGS)).astype(np.float32)
+    w["bias"] = np.zeros(2 * N_TAGS, np.float32)
     w["trans"] = rng.normal(0, 0.1, (N_TAGS, N_TAGS)).astype(np.float32)
     w["start"] = np.zeros(N_TAGS, np.float32)
     return w
 
 
+def pairs_of(x: np.ndarray) -> np.ndarray:
+    """Numbers of the character pairs (steps / 2, batch) of x (steps, batch), steps being even."""
+    return x[0::2].astype(np.intp) * VOCAB + x[1::2]
+
+
+def pair_table(w: dict[str, np.ndarray], side: str) -> np.ndarray:
+    """What every pair of characters gives the gates of one direction."""
+    return (w[f"x{side}1"][:, None, :] + w[f"x{side}2"][None, :, :]).reshape(VOCAB * VOCAB, -1)
+
+
 def run_lstm(x: np.ndarray, table: np.ndarray, recur: np.ndarray, keep: bool = False):
-    """Hidden states (steps, batch, hidden) over x (steps, batch); with ``keep`` also what the gradients need."""
+    """Hidden states (steps, batch, hidden) over pair numbers x (steps, batch); with ``keep`` also what the gradients need."""
     steps, batch = x.shape
     hidden = recur.shape[0]
     h = np.zeros((batch, hidden), np.float32)
@@ -100,9 +115,10 @@ def run_lstm(x: np.ndarray, table: np.ndarray, recur: np.ndarray, keep: bool = F
     return (out, cells, gates) if keep else out
 
 
-def lstm_gradients(x, d_out, out, cells, gates, table, recur):
+def lstm_gradients(x, d_out, out, cells, gates, recur):
+    """Gradients of the two embeddings and of the recurrence; x are the characters (2 * steps, batch)."""
     steps, batch, hidden = out.shape
-    d_table, d_recur = np.zeros_like(table), np.zeros_like(recur)
+    d_recur = np.zeros_like(recur)
     dh, dc = np.zeros((batch, hidden), np.float32), np.zeros((batch, hidden), np.float32)
     dz_all = np.empty((steps, batch, 4 * hidden), np.float32)
     for t in range(steps - 1, -1, -1):
@@ -121,19 +137,29 @@ def lstm_gradients(x, d_out, out, cells, gates, table, recur):
             d_recur += out[t - 1].T @ dz
         dh = dz @ recur.T
         dc = dc * f
-    flat, codes = dz_all.reshape(-1, 4 * hidden), x.reshape(-1)
-    order = np.argsort(codes, kind="stable")
-    starts = np.flatnonzero(np.r_[True, np.diff(codes[order].astype(int)) != 0])
-    d_table[codes[order][starts]] = np.add.reduceat(flat[order], starts, axis=0)
-    return d_table, d_recur
+    flat, tables = dz_all.reshape(-1, 4 * hidden), []
+    for codes in (x[0::2].reshape(-1), x[1::2].reshape(-1)):
+        d_table = np.zeros((VOCAB, 4 * hidden), np.float32)
+        order = np.argsort(codes, kind="stable")
+        starts = np.flatnonzero(np.r_[True, np.diff(codes[order].astype(int)) != 0])
+        d_table[codes[order][starts]] = np.add.reduceat(flat[order], starts, axis=0)
+        tables.append(d_table)
+    return *tables, d_recur
+
+
+def unpair(e: np.ndarray) -> np.ndarray:
+    """Scores (steps, batch, 2 * tags) of pairs as scores (2 * steps, batch, tags) of characters."""
+    steps, batch, _ = e.shape
+    return e.reshape(steps, batch, 2, N_TAGS).transpose(0, 2, 1, 3).reshape(2 * steps, batch, N_TAGS)
 
 
-def emissions(x: np.ndarray, w: dict[str, np.ndarray]) -> np.ndarray:
-    """Tag scores (steps, batch, tags) of x (steps, batch)."""
-    forward = run_lstm(x, w["xf"], w["hf"])
-    backward = run_lstm(x[::-1], w["xb"], w["hb"])[::-1]
-    hidden = forward.shape[2]
-    return forward @ w["out"][:hidden] + backward @ w["out"][hidden:] + w["bias"]
+def scores(forward: np.ndarray, backward: np.ndarray, w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """What the two directions add to the tag scores of pairs. Each reads its own characters (steps, batch) from their
+    first one, the backward ones being reversed by pairs, so that what pads the shorter sequences never comes first."""
+    if "pf" not in w:
+        w["pf"], w["pb"] = pair_table(w, "f"), pair_table(w, "b")
+    hidden = w["hf"].shape[0]
+    return run_lstm(pairs_of(forward), w["pf"], w["hf"]) @ w["out"][:hidden] + w["bias"], run_lstm(pairs_of(backward), w["pb"], w["hb"]) @ w["out"][hidden:]
 
 
 def _masked(w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -143,12 +169,13 @@ def _masked(w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def loss_and_gradients(x: np.ndarray, y: np.ndarray, w: dict[str, np.ndarray]) -> tuple[float, dict[str, np.ndarray]]:
     """Mean negative log likelihood per sequence of full-length sequences, and its gradients."""
     steps, batch = x.shape
-    f_out, f_c, f_g = run_lstm(x, w["xf"], w["hf"], keep=True)
-    xr = np.ascontiguousarray(x[::-1])
-    b_out, b_c, b_g = run_lstm(xr, w["xb"], w["hb"], keep=True)
+    f_out, f_c, f_g = run_lstm(pairs_of(x), pair_table(w, "f"), w["hf"], keep=True)
+    # pairs in reverse order, each with its characters in order
+    xr = x.reshape(steps // 2, 2, batch)[::-1].reshape(steps, batch)
+    b_out, b_c, b_g = run_lstm(pairs_of(xr), pair_table(w, "b"), w["hb"], keep=True)
     hidden = f_out.shape[2]
     both = np.concatenate([f_out, b_out[::-1]], axis=2)
-    e = both @ w["out"] + w["bias"]
+    e = unpair(both @ w["out"] + w["bias"])
     trans, start = _masked(w)
     a = np.empty((steps, batch, N_TAGS), np.float32)
     a[0] = start + e[0]
@@ -180,30 +207,73 @@ def loss_and_gradients(x: np.ndarray, y: np.ndarray, w: dict[str, np.ndarray]) -
     d_e[np.arange(steps)[:, None], rows[None, :], y] -= 1
     d_e /= batch
     grads = {"trans": np.where(FORBIDDEN, 0, d_trans / batch).astype(np.float32), "start": np.where(FORBIDDEN_START, 0, d_start / batch).astype(np.float32)}
-    grads["out"] = both.reshape(-1, 2 * hidden).T @ d_e.reshape(-1, N_TAGS)
+    d_e = d_e.reshape(steps // 2, 2, batch, N_TAGS).transpose(0, 2, 1, 3).reshape(steps // 2, batch, 2 * N_TAGS)
+    grads["out"] = both.reshape(-1, 2 * hidden).T @ d_e.reshape(-1, 2 * N_TAGS)
     grads["bias"] = d_e.sum(axis=(0, 1))
     d_both = d_e @ w["out"].T
-    grads["xf"], grads["hf"] = lstm_gradients(x, np.ascontiguousarray(d_both[:, :, :hidden]), f_out, f_c, f_g, w["xf"], w["hf"])
-    grads["xb"], grads["hb"] = lstm_gradients(xr, np.ascontiguousarray(d_both[::-1, :, hidden:]), b_out, b_c, b_g, w["xb"], w["hb"])
+    grads["xf1"], grads["xf2"], grads["hf"] = lstm_gradients(x, np.ascontiguousarray(d_both[:, :, :hidden]), f_out, f_c, f_g, w["hf"])
+    grads["xb1"], grads["xb2"], grads["hb"] = lstm_gradients(xr, np.ascontiguousarray(d_both[::-1, :, hidden:]), b_out, b_c, b_g, w["hb"])
     return loss, grads
 
 
-def viterbi(e: np.ndarray, w: dict[str, np.ndarray]) -> np.ndarray:
-    """Best tag sequences (steps, batch) of emissions (steps, batch, tags)."""
+def viterbi(e: np.ndarray, lengths: np.ndarray, w: dict[str, np.ndarray]) -> np.ndarray:
+    """Best tag sequences (steps, batch) of emissions (steps, tags, batch) of sequences of rising ``lengths``."""
     trans, start = _masked(w)
-    steps, batch, _ = e.shape
-    back = np.empty((steps, batch, N_TAGS), np.uint8)
-    score = start + e[0]
-    into = np.ascontiguousarray(trans.T)[None]
+    steps, _, batch = e.shape
+    best = np.empty((steps, N_TAGS, batch), np.float32)
+    best[0] = start[:, None] + e[0]
+    across = trans[:, :, None]
+    ways = np.empty((N_TAGS, N_TAGS, batch), np.float32)
     for t in range(1, steps):
-        ways = score[:, None, :] + into
-        back[t] = ways.argmax(axis=2)
-        score = np.take_along_axis(ways, back[t][:, :, None].astype(np.intp), axis=2)[:, :, 0] + e[t]
-    tags = np.empty((steps, batch), np.uint8)
-    tags[-1] = score.argmax(axis=1)
-    rows = np.arange(batch)
-    for t in range(steps - 1, 0, -1):
-        tags[t - 1] = back[t][rows, tags[t]]
+        np.add(best[t - 1][:, None, :], across, out=ways)
+        np.add(ways.max(axis=0), e[t], out=best[t])
+    # the way back asks only for the predecessor of the one tag chosen
+    tags = np.zeros((steps, batch), np.uint8)
+    into, now, begun = np.ascontiguousarray(trans.T), np.zeros(batch, np.intp), batch
+    for t in range(steps - 1, -1, -1):
+        first = int(np.searchsorted(lengths, t + 1))
+        if begun < batch:
+            now[begun:] = (best[t][:, begun:] + into[now[begun:]].T).argmax(axis=0)
+        if first < begun:
+            now[first:begun] = best[t][:, first:begun].argmax(axis=0)
+            begun = first
+        tags[t, begun:] = now[begun:]
+    return tags
+
+
+def viterbi_blocks(blocks, w: dict[str, np.ndarray]) -> np.ndarray:
+    """The best tags of one sequence given in blocks of emissions (steps, tags), which are dropped as they are read.
+
+    What all ways back have in common is settled at the end of each block, so little more than a block is kept."""
+    trans, start = _masked(w)
+    done, held, score = [], np.empty((0, N_TAGS), np.uint8), None
+    for e in blocks:
+        back = np.zeros((len(e), N_TAGS), np.uint8)
+        for t in range(len(e)):
+            if score is None:
+                score = start + e[t]
+                continue
+            ways = score[:, None] + trans
+            back[t] = ways.argmax(axis=0)
+            score = ways.max(axis=0) + e[t]
+        held = np.concatenate([held, back])
+        states, at = np.arange(N_TAGS), len(held)
+        while at > 1 and (states != states[0]).any():
+            at -= 1
+            states = held[at][states]
+        if at < len(held) and (states == states[0]).all():
+            done.append(_walk(held[:at], int(states[0])))
+            held = held[at:]
+    if score is not None and len(held):
+        done.append(_walk(held, int(score.argmax())))
+    return np.concatenate(done) if done else np.empty(0, np.uint8)
+
+
+def _walk(back: np.ndarray, last: int) -> np.ndarray:
+    tags = np.empty(len(back), np.uint8)
+    for t in range(len(back) - 1, -1, -1):
+        tags[t] = last
+        last = int(back[t][last])
     return tags
 
 

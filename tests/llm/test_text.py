@@ -72,29 +72,54 @@ def test_gradients():
         assert g[k][at] == pytest.approx((up - down) / (2 * step), rel=0.02, abs=1e-3)
 
 
-def test_held_out_accuracy():
-    """Texts from seeds no training run uses."""
-    r = random.Random(987_654_321)
-    plain = ["The team looked at the old tool again.", "No one told us about the change.", "Large gaps remain between groups."]
+PLAIN = ["The team looked at the old tool again.", "No one told us about the change.", "Large gaps remain between groups.", "Trust is lost when a rule nobody saw is applied."]
+
+
+def spans_of(tags):
+    starts = [k for k in range(len(tags)) if tags[k] and pii_model.TAGS[tags[k]][0] == "B"]
+    ends = [next((e for e in range(k + 1, len(tags)) if tags[e] != tags[k] + 1), len(tags)) for k in starts]
+    return {(k, e, pii_model.TAGS[tags[k]][2:]) for k, e in zip(starts, ends, strict=True)}
+
+
+@pytest.mark.parametrize("side,least", [(0, 0.95), (1, 0.9)])
+def test_held_out_accuracy(side, least):
+    """Side 1: sentences, given names, streets, towns and hosts that training never uses; side 0: seeds it never uses."""
+    r = pii_training.Source(987_654_321)
+    r.side = side
     hits = wrong = missed = 0
-    for _ in range(60):
-        text, tags = pii_training.labelled_text(r, plain, 400)
-        want = set()
-        k = 0
-        while k < len(tags):
-            if tags[k]:
-                e = k + 1
-                while e < len(tags) and tags[e] == tags[k] + 1:
-                    e += 1
-                want.add((k, e, pii_model.TAGS[tags[k]][2:]))
-                k = e
-            else:
-                k += 1
-        got = set(pii.find_items([text])[0])
-        hits += len(got & want)
-        wrong += len(got - want)
-        missed += len(want - got)
-    assert hits / (hits + wrong) > 0.93 and hits / (hits + missed) > 0.93
+    for _ in range(150):
+        text, tags = pii_training.labelled_text(r, PLAIN, 400)
+        want, got = spans_of(tags), set(pii.find_items([text])[0])
+        hits, wrong, missed = hits + len(got & want), wrong + len(got - want), missed + len(want - got)
+    assert hits / (hits + wrong) > least and hits / (hits + missed) > least
+
+
+def test_training_texts_do_not_stand_in_the_tables():
+    import ast
+    import inspect
+    import os
+    import re
+
+    import pyarrow.parquet as pq
+
+    base = "/root/testdata/sf0.1"
+    if not os.path.exists(base):
+        pytest.skip("the tables are not here")
+    listed = [x for pair in (pii_training.GIVEN, pii_training.STREETS, pii_training.TOWNS, pii_training.HOSTS) for side in pair for x in side]
+    found = [n.value for n in ast.walk(ast.parse(inspect.getsource(pii_training))) if isinstance(n, ast.Constant) and isinstance(n.value, str) and n.value.count(" ") < 20]
+    parts = {p.strip() for x in [*found, *listed] for p in re.split(r"\{\}|\n", x)}
+    parts = {p for p in parts if len(p) >= 12 and not re.fullmatch(r"[\w.]+", p)}
+    tables = "\n".join(x for t, c in (("answers", "body"), ("experts", "bio")) for x in pq.read_table(f"{base}/{t}.parquet", columns=[c]).column(0).to_pylist() if x)
+    assert [p for p in parts if p in tables] == []
+
+
+def test_windows_do_not_depend_on_their_batch_nor_on_blocks(monkeypatch):
+    r = pii_training.Source(5)
+    texts = [pii_training.labelled_text(r, PLAIN, n)[0] for n in (5, 300, 700, 2900)]
+    together = pii.find_items(texts)
+    assert [pii.find_items([t])[0] for t in texts] == together
+    monkeypatch.setattr(pii, "LONG_CHARS", 100)
+    assert pii.find_items(texts) == together
 
 
 def test_windows_and_redaction():
@@ -109,9 +134,9 @@ def test_windows_and_redaction():
 
 
 def test_pii_query(spark, tables):
-    base = tables(experts=[{"id": 1, "bio": "Thanks to Margaret Bolitrund for the notes."}, {"id": 2, "bio": None}], answers=[{"id": 1, "body": "I live at 33, Mallowby Road, Pellingsea HZ10 4QQ and never got the notice."}, {"id": 2, "body": " "}])
+    base = tables(experts=[{"id": 1, "bio": "Thanks to Margaret Bolitrund for the notes."}, {"id": 2, "bio": None}], answers=[{"id": 1, "body": "Letters for 33, Mallowby Road, Pellingsea HZ10 4QQ came back."}, {"id": 2, "body": " "}])
     got = {tuple(r) for r in pii.p5_found(spark, base).collect()}
-    assert got == {("experts", 1, 10, 28, "name"), ("answers", 1, 10, 10 + len("33, Mallowby Road, Pellingsea HZ10 4QQ"), "address")}
+    assert got == {("experts", 1, 10, 28, "name"), ("answers", 1, 12, 12 + len("33, Mallowby Road, Pellingsea HZ10 4QQ"), "address")}
     new = {(r.origin, r.record_id): r.text for r in pii.p5_redacted(spark, base).collect()}
     assert new[("experts", 1)] == "Thanks to [NAME] for the notes." and new[("answers", 2)] == " " and new[("experts", 2)] is None
 
