@@ -157,9 +157,49 @@ def scores(forward: np.ndarray, backward: np.ndarray, w: dict[str, np.ndarray])
     """What the two directions add to the tag scores of pairs. Each reads its own characters (steps, batch) from their
     first one, the backward ones being reversed by pairs, so that what pads the shorter sequences never comes first."""
     if "pf" not in w:
-        w["pf"], w["pb"] = pair_table(w, "f"), pair_table(w, "b")
+        hidden = w["hf"].shape[0]
+        halved = np.r_[np.full(3 * hidden, 0.5, np.float32), np.ones(hidden, np.float32)]
+        for side in "fb":
+            w[f"p{side}"], w[f"r{side}"] = pair_table(w, side) * halved, w[f"h{side}"] * halved
     hidden = w["hf"].shape[0]
-    return run_lstm(pairs_of(forward), w["pf"], w["hf"]) @ w["out"][:hidden] + w["bias"], run_lstm(pairs_of(backward), w["pb"], w["hb"]) @ w["out"][hidden:]
+    return states(pairs_of(forward), w["pf"], w["rf"]) @ w["out"][:hidden] + w["bias"], states(pairs_of(backward), w["pb"], w["rb"]) @ w["out"][hidden:]
+
+
+def states(x: np.ndarray, table: np.ndarray, recur: np.ndarray) -> np.ndarray:
+    """``run_lstm`` for decoding: the gates' inputs come halved, as the sigmoid by tanh wants them, and buffers are reused."""
+    steps, batch = x.shape
+    hidden = recur.shape[0]
+    out = np.zeros((steps + 1, batch, hidden), np.float32)
+    c, z, again = np.zeros((batch, hidden), np.float32), np.empty((batch, 4 * hidden), np.float32), np.empty((batch, 4 * hidden), np.float32)
+    gates, u, spare = z[:, : 3 * hidden], z[:, 3 * hidden :], np.empty((batch, hidden), np.float32)
+    half = np.float32(0.5)
+    for t in range(steps):
+        np.take(table, x[t], axis=0, out=z, mode="clip")
+        np.matmul(out[t], recur, out=again)
+        z += again
+        np.tanh(z, out=z)
+        gates *= half
+        gates += half
+        c *= z[:, hidden : 2 * hidden]
+        np.multiply(z[:, :hidden], u, out=spare)
+        c += spare
+        np.tanh(c, out=spare)
+        np.multiply(z[:, 2 * hidden : 3 * hidden], spare, out=out[t + 1])
+    return out[1:]
+
+
+def one_thread() -> None:
+    """Products this small gain nothing from more threads, which only spin; tasks already fill the cores."""
+    import ctypes
+    import glob
+    import os
+
+    for path in glob.glob(os.path.join(os.path.dirname(np.__file__), "..", "numpy.libs", "*openblas*")):
+        library = ctypes.CDLL(path)
+        for call in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, call):
+                getattr(library, call)(1)
+                break
 
 
 def _masked(w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -283,6 +323,7 @@ _WEIGHTS: dict[str, dict[str, np.ndarray]] = {}
 def weights(name: str = "pii_weights.npz") -> dict[str, np.ndarray]:
     """The trained weights that come with the package, loaded once per worker."""
     if name not in _WEIGHTS:
+        one_thread()
         data = pkgutil.get_data("symposia.llm", name)
         with np.load(io.BytesIO(data)) as stored:
             _WEIGHTS[name] = {k: stored[k].astype(np.float32) for k in stored.files}
