@@ -3,7 +3,7 @@
 References and parent keys are hash-partitioned and sorted alike and merged in one linear pass (the sort-merge
 join of Spark, asked for by hint). A parent is described by the interval in which it was valid: loaded at
 ``valid_from``, gone at ``valid_to``. Hot parents, such as an expert who casts a third of the votes, are salted on
-both sides, so that no merge task grows with the key.
+both sides by as many salts as their rows need, so that no merge task grows with the key.
 
 Defined results: null, blank, non-numeric and zero references are no reference; spellings of the same whole number
 are the same reference; a key with no row is ``deleted`` when a deletion is on record and ``missing`` otherwise; a
@@ -20,9 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from symposia.functions.columns import reference
-from symposia.runtime import cut, partitions, read
-
-SALTS = 16
+from symposia.runtime import ROWS_PER_TASK, read, salted
 
 
 @dataclass(frozen=True)
@@ -40,45 +38,21 @@ REFERENCES = (
 
 
 def parent_intervals(spark: SparkSession, base: str, tables: list[str]) -> DataFrame:
-    """(parent, key, here, marked, gone, valid_from, valid_to), one row per key that has a row or a deletion."""
-    deletions = read(spark, base, "deletions").select(
-        F.lower(F.trim("table_name")).alias("parent"),
-        F.col("record_id").cast("bigint").alias("key"),
-        F.lit(0).alias("here"),
-        F.lit(0).alias("marked"),
-        F.lit(1).alias("gone"),
-        F.lit(None).cast("timestamp_ntz").alias("valid_from"),
-        F.col("deleted_at").cast("timestamp_ntz").alias("valid_to"),
-    )
-    sides = [deletions.where(F.col("parent").isin(tables))]
+    """(parent, key, valid_from, valid_to), one row per key that has a row or a deletion.
+
+    A key without a row has no ``valid_from`` flag (``here`` is 0); its validity ended where a deletion is on record. A row
+    that is marked deleted has ended, too; a deletion on record beside an unmarked row has not ended it."""
+    always = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
+    side = lambda rows, parent, key, here, start, end, gone: rows.select(parent.alias("parent"), key.cast("bigint").alias("key"), F.lit(here).alias("here"), start.cast("timestamp_ntz").alias("valid_from"), end.cast("timestamp_ntz").alias("row_end"), gone.cast("timestamp_ntz").alias("gone"))
+    none = F.lit(None)
+    deletions = side(read(spark, base, "deletions"), F.lower(F.trim("table_name")), F.col("record_id"), 0, none, none, F.coalesce(F.col("deleted_at").cast("timestamp_ntz"), always))
+    rows = deletions.where(F.col("parent").isin(tables))
     for name in tables:
-        rows = read(spark, base, name)
-        marked = F.coalesce(F.col("is_deleted").cast("int"), F.lit(0)) if "is_deleted" in rows.columns else F.lit(0)
-        sides.append(
-            rows.select(
-                F.lit(name).alias("parent"),
-                F.col("id").cast("bigint").alias("key"),
-                F.lit(1).alias("here"),
-                marked.alias("marked"),
-                F.lit(0).alias("gone"),
-                F.col("ingested_at").cast("timestamp_ntz").alias("valid_from"),
-                F.lit(None).cast("timestamp_ntz").alias("valid_to"),
-            )
-        )
-    rows = sides[0]
-    for side in sides[1:]:
-        rows = rows.unionByName(side)
-    return (
-        rows.where("key is not null")
-        .groupBy("parent", "key")
-        .agg(
-            F.max("here").alias("here"),
-            F.max("marked").alias("marked"),
-            F.max("gone").alias("gone"),
-            F.min("valid_from").alias("valid_from"),
-            F.min("valid_to").alias("valid_to"),
-        )
-    )
+        table = read(spark, base, name)
+        end = F.when(F.col("is_deleted"), always) if "is_deleted" in table.columns else none
+        rows = rows.unionByName(side(table, F.lit(name), F.col("id"), 1, F.col("ingested_at"), end, none))
+    ends = rows.where("key is not null").groupBy("parent", "key").agg(F.max("here").alias("here"), F.min("valid_from").alias("valid_from"), F.min("row_end").alias("row_end"), F.min("gone").alias("gone"))
+    return ends.select("parent", "key", "here", "valid_from", F.when(F.col("here") == 1, F.col("row_end")).otherwise(F.col("gone")).alias("valid_to"))
 
 
 def references(spark: SparkSession, base: str, refs: tuple[Reference, ...] = REFERENCES) -> DataFrame:
@@ -101,30 +75,11 @@ def references(spark: SparkSession, base: str, refs: tuple[Reference, ...] = REF
     return out
 
 
-def classify(refs: DataFrame, parents: DataFrame, salts: int = SALTS, hot_share: float = 0.01) -> DataFrame:
+def classify(refs: DataFrame, parents: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Merge references with parent intervals; returns ``refs`` plus ``status`` (null when the reference is sound)."""
-    total = refs.count()
-    hot = cut(
-        refs.groupBy("parent", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > F.lit(max(1000, int(hot_share * total))))
-        .select("parent", "key", F.lit(True).alias("hot"))
-    )
-    n = partitions(refs.sparkSession)
-    spread = F.pmod(F.xxhash64("child_table", "child_id", "seen_at"), F.lit(salts)).cast("int")
-    left = refs.join(F.broadcast(hot), ["parent", "key"], "left").withColumn("salt", F.when(F.col("hot"), spread).otherwise(F.lit(0))).drop("hot")
-    right = (
-        parents.join(F.broadcast(hot), ["parent", "key"], "left")
-        .withColumn("salt", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-        .drop("hot")
-    )
-    on = ["parent", "key", "salt"]
-    merged = left.repartition(n, *on).join(right.repartition(n, *on).hint("merge"), on, "left")
-    status = (
-        F.when((F.col("here") == 1) & (F.col("marked") == 1), "deleted")
-        .when(F.coalesce(F.col("here"), F.lit(0)) == 0, F.when(F.col("gone") == 1, "deleted").otherwise("missing"))
-        .when(F.col("valid_from") > F.col("seen_at"), "late")
-    )
+    left, right = salted(refs, parents, ["parent", "key"], rows_per_task)
+    merged = left.join(right.hint("merge"), ["parent", "key", "_salt"], "left")
+    status = F.when(F.col("valid_to").isNotNull(), "deleted").when(F.col("here").isNull() | (F.col("here") == 0), "missing").when(F.col("valid_from") > F.col("seen_at"), "late")
     return merged.select("child_table", "child_id", "parent", "key", "seen_at", "month", status.alias("status"))
 
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side is broadcast only when a count has shown it to be no larger than this many rows.
-BROADCAST_ROWS = 200_000
+#: A side is broadcast only when it was found to have no more rows and no more bytes of text than this.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
+#: A key with more rows than this is spread over tasks of this many rows.
+ROWS_PER_TASK = 1_000_000
 
 
 def read(spark: SparkSession, base: str, table: str) -> DataFrame:
@@ -17,31 +22,49 @@ def read(spark: SparkSession, base: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where the setting is absent (tests, one machine)."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only where the setting is absent on one machine."""
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(configured)
         return configured
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="symposia-checkpoint-"))
-    return sc.getCheckpointDir()
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if not hasattr(sc, "_symposia_dir"):
+        sc._symposia_dir = tempfile.mkdtemp(prefix="symposia-shared-")
+        atexit.register(shutil.rmtree, sc._symposia_dir, ignore_errors=True)
+    return sc._symposia_dir
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder, so that lost executors cost nothing and lineage stays short."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written as a compressed table in the shared folder and read from there, so that lost executors cost nothing,
+    lineage stays short and what is kept is small. ``drop`` deletes it when nothing reads it any more."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/symposia/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._symposia_path = path
+    return out
+
+
+def drop(*tables: DataFrame | None) -> None:
+    """Delete what ``cut`` wrote for these; others are left alone."""
+    for df in tables:
+        path = getattr(df, "_symposia_path", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``limit`` rows; reads no more than it needs to know."""
-    return df.limit(limit + 1).count() <= limit
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``limit`` rows and ``most`` bytes of text; reads no more rows than it needs to know."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) for f in df.schema.fields if f.dataType.typeName() in ("string", "array", "map", "struct")]
+    row = df.limit(limit + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(sum(texts, F.lit(0))).alias("b")).first()
+    return row["n"] <= limit and (row["b"] or 0) <= most
 
 
 def lookup(facts: DataFrame, table: DataFrame, on: list[str], how: str = "left", limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -51,25 +74,40 @@ def lookup(facts: DataFrame, table: DataFrame, on: list[str], how: str = "left",
     return salted_join(facts, table, on, how)
 
 
-def salted_join(facts: DataFrame, table: DataFrame, on: list[str], how: str = "left", salts: int = 16, hot_share: float = 0.02) -> DataFrame:
-    """Equi-join in which only the hot keys of ``facts`` are spread over ``salts`` partitions.
+def hot_keys(rows: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+    """(on, salts) of the keys with more rows than a task should hold and how many tasks each needs; None where there is none.
 
-    ``table`` must be unique on ``on``. Keys holding more than ``hot_share`` of all fact rows are found by a
-    pre-aggregated count (at most ``1 / hot_share`` of them can exist, which bounds the broadcast); their table
-    rows are copied once per salt, every other row exactly once. Null keys match nothing and are spread as well.
-    ``how`` is ``left`` or ``inner``. No row is dropped or sampled.
-    """
-    counts = facts.where(F.expr(" and ".join(f"`{c}` is not null" for c in on))).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = facts.count()
-    hot = cut(counts.where(F.col("_n") > max(1000, hot_share * total)).select(*on, F.lit(True).alias("_hot")))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns if c not in on] or [F.lit(0)]), F.lit(salts)).cast("int")
+    The bound rises with the table so that no more than BROADCAST_ROWS keys can lie above it: the result may be broadcast."""
+    counts = cut(rows.where(F.expr(" and ".join(f"`{c}` is not null" for c in on))).groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    bound = max(rows_per_task, total // BROADCAST_ROWS)
+    hot = counts.where(F.col("_n") > bound).select(*on, F.ceil(F.col("_n") / bound).cast("int").alias("_salts"))
+    if hot.limit(1).count():
+        hot = cut(hot)
+        drop(counts)
+        return hot
+    drop(counts)
+    return None
+
+
+def salted(facts: DataFrame, table: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK) -> tuple[DataFrame, DataFrame]:
+    """``facts`` and ``table`` with a further join column ``_salt``: only hot keys are spread, and only their table rows copied."""
+    hot = hot_keys(facts, on, rows_per_task)
+    spread = F.xxhash64(*[F.col(c) for c in facts.columns if c not in on] or [F.lit(0)])
     no_key = F.expr(" or ".join(f"`{c}` is null" for c in on))
-    left = facts.join(F.broadcast(hot), on, "left").withColumn("_salt", F.when(F.col("_hot") | no_key, spread).otherwise(F.lit(0))).drop("_hot")
-    right = (
-        table.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
+    # null keys match nothing, so they are spread at will
+    loose = F.pmod(spread, F.lit(partitions(facts.sparkSession))).cast("int")
+    if hot is None:
+        return facts.withColumn("_salt", F.when(no_key, loose).otherwise(F.lit(0))), table.withColumn("_salt", F.lit(0))
+    left = facts.join(F.broadcast(hot), on, "left").withColumn("_salt", F.when(no_key, loose).otherwise(F.pmod(spread, F.coalesce("_salts", F.lit(1))).cast("int"))).drop("_salts")
+    right = table.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    return left, right
+
+
+def salted_join(facts: DataFrame, table: DataFrame, on: list[str], how: str = "left", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Equi-join, ``left`` or ``inner``, to a table unique on ``on``, in which keys of more than ``rows_per_task`` fact rows
+    are spread over as many tasks as they need. No row is dropped or sampled."""
+    left, right = salted(facts, table, on, rows_per_task)
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
@@ -97,6 +135,6 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` over enough partitions for a costly Python step.
 
     A scan that already has three tasks a core is left as it lies, as any large table does. A smaller one, whose few
-    uneven splits would leave cores idle, is hash-partitioned by ``keys``; moving it costs little against the step."""
+    uneven splits would leave cores idle, is hash-partitioned by ``keys``. Rows stay what they are either way."""
     wanted = 3 * df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, *keys)
