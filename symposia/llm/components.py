@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from symposia.runtime import cut, lookup, partitions, read
+from symposia.runtime import cut, drop, lookup, read
 
 ROWS_PER_TASK = 1_000_000
 
@@ -84,6 +84,7 @@ def components(edges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFram
         levels.append(cut(firsts.select("node", "root")))
         shared = forest.join(firsts.where("trees > 1").select("node", F.col("root").alias("first")), "node")
         ties = cut(shared.where("root <> first").select(F.col("first").alias("a"), F.col("root").alias("b")).distinct())
+        drop(forest)
         n = ties.count()
         if n == 0:
             break
@@ -100,7 +101,7 @@ def components(edges: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFram
         width = max(1, min(width // 2, -(-n // rows_per_task)))
         if n > rows_per_task:
             width = max(2, -(-n // rows_per_task))
-        forest = cut(_level(ties.repartition(width, "a")))
+        forest = cut(_level(ties.repartition(width, "a", "b")))
     found = levels[-1]
     for level in reversed(levels[:-1]):
         upper = found.select(F.col("node").alias("root"), F.col("root").alias("top"))

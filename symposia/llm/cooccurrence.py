@@ -5,8 +5,8 @@ weight, and pairs are enumerated once per distinct basket and summed by weight.
 any qualifying pair are taken out of the baskets, which is exact: a pair's count is at most the count of its rarer
 item, so an item in fewer than ``min_count`` records cannot reach it, and lift is at most ``n / n_a``, so an item in
 more than ``n / min_lift`` records cannot exceed chance enough. The few general concepts that occur in a third of
-all records therefore never meet the pair stage. Wide baskets are cut into blocks of items, and a task enumerates
-one pair of blocks at a time.
+all records therefore never meet the pair stage. Wide records are laid out in blocks of items before anything is gathered,
+and pairs are enumerated a pair of blocks at a time.
 
 Defined results: null or blank uris and rows that name no record are left out; an item counts once per record; a
 record with one item counts towards ``n`` only; ties cannot occur (counts are exact); empty tables give no rows.
@@ -41,28 +41,29 @@ def pair_scores(baskets: DataFrame, min_count: int = MIN_COUNT, min_lift: int =
     able = counts.where((F.col("n_item") >= min_count) & (F.col("n_item") * min_lift <= n))
     items = cut(able.select("item", "n_item", F.monotonically_increasing_id().alias("id")))
     kept = lookup(seen, items.select("item", "id"), ["item"], "inner")
-    arrays = kept.groupBy("record").agg(F.array_sort(F.collect_list("id")).alias("ids")).where(F.size("ids") > 1)
-    distinct = arrays.groupBy("ids").agg(F.count(F.lit(1)).alias("weight"))
-    # blocks i <= j of one basket; within the block pair every item of i meets the later items of j
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size("ids") - 1) / block).cast("int")),
-        lambda i: F.slice(F.col("ids"), i * block + 1, block),
-    )
-    cells = (
-        distinct.withColumn("blocks", blocks)
-        .select("weight", "blocks", F.posexplode("blocks").alias("i", "left"))
-        .select("weight", "left", F.explode(F.expr("slice(blocks, i + 1, size(blocks))")).alias("right"))
-    )
+    # the items of a record are laid out in blocks of their id's hash, so that no row holds more than a block; a record
+    # whose items fill one block is a basket as it is, a wider one is a basket per pair of its blocks
+    wide = cut(kept.groupBy("record").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > block).select("record", F.ceil(F.col("k") / block * 2).cast("int").alias("parts")))
+    lone = kept.join(wide, "record", "left_anti").groupBy("record").agg(F.array_sort(F.collect_list("id")).alias("left")).where(F.size("left") > 1)
+    cells = lone.groupBy("left").agg(F.count(F.lit(1)).alias("weight")).select("weight", "left", F.col("left").alias("right"))
+    if wide.limit(1).count():
+        placed = kept.join(wide, "record").select("record", "parts", "id", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("i"))
+        blocks = cut(placed.groupBy("record", "parts", "i").agg(F.array_sort(F.collect_list("id")).alias("ids")))
+        left = blocks.select("record", "i", F.col("ids").alias("left"), F.explode(F.sequence("i", F.col("parts") - 1)).alias("j"))
+        met = left.join(blocks.select("record", F.col("i").alias("j"), F.col("ids").alias("right")), ["record", "j"])
+        # within a block every item meets the later ones; across two, all do, once per distinct pair of blocks
+        cells = cells.unionByName(met.groupBy("left", "right").agg(F.count(F.lit(1)).alias("weight")))
     pairs = (
-        cells.select("weight", F.explode("left").alias("a"), "right")
-        .select("weight", "a", F.explode(F.filter("right", lambda b: b > F.col("a"))).alias("b"))
+        cells.select("weight", "left", F.explode("left").alias("a"), "right")
+        .select("weight", F.col("a").alias("x"), F.explode(F.when(F.col("left") == F.col("right"), F.filter("right", lambda b: b > F.col("a"))).otherwise(F.col("right"))).alias("y"))
+        .select("weight", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .groupBy("a", "b")
         .agg(F.sum("weight").alias("n_ab"))
         .where(F.col("n_ab") >= min_count)
     )
     name = lambda s: items.select(F.col("id").alias(s), F.col("item").alias(f"item_{s}"), F.col("n_item").alias(f"n_{s}"))
     scored = lookup(lookup(pairs, name("a"), ["a"], "inner"), name("b"), ["b"], "inner")
-    scored = scored.where(F.col("n_ab") * F.lit(n) >= F.lit(min_lift) * F.col("n_a") * F.col("n_b"))
+    scored = scored.where(F.col("n_ab").cast("decimal(38,0)") * F.lit(n).cast("decimal(19,0)") >= F.col("n_a").cast("decimal(38,0)") * F.col("n_b").cast("decimal(19,0)") * F.lit(min_lift))
     swap = F.col("item_a") > F.col("item_b")
     first = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
     out = scored.select(

@@ -26,36 +26,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from symposia.llm.components import components
-from symposia.runtime import cut, read
+from symposia.llm.cooccurrence import pair_scores
+from symposia.runtime import cut, read, salted, spread
 
-# Common given names and their short forms.
+#: Given names of English with the short forms that dictionaries of names give for them; further ones are learned.
 SHORT_FORMS = {
-    "abdulrahman": "abdul rahman", "alexander": "alex sasha", "anthony": "tony ant", "benjamin": "ben benny",
-    "charlotte": "lottie charlie", "christopher": "chris kit", "deborah": "deb debbie", "dorothea": "dora thea",
-    "edward": "ted ned", "elizabeth": "liz beth", "francisco": "paco pancho", "gabriela": "gaby gabi",
-    "gerald": "gerry jerry", "henrietta": "hettie etta", "isabella": "bella izzy", "johannes": "hannes jo",
-    "josephine": "josie jo", "katherine": "kate kathy kit", "konstantin": "kostya dinos", "leonard": "leo len",
-    "margaret": "maggie peggy", "mariana": "mari nana", "matthias": "matti hias", "michael": "mike mick",
-    "nathaniel": "nate nat", "oliver": "ollie noll", "philippa": "pip pippa", "priyanka": "priya pinky",
-    "raymond": "ray mondo", "rebecca": "becky becca", "robert": "bob rob", "samuel": "sam sammy",
-    "susannah": "sue susie", "theresa": "terry tess", "ulrich": "ulli uli", "valentina": "val tina",
-    "victoria": "vicky tori", "william": "bill will", "yolanda": "yoli landa", "zachary": "zach zak",
-    "andrew": "andy drew", "daniel": "dan danny", "david": "dave", "james": "jim jamie", "joseph": "joe",
-    "patricia": "pat patty", "richard": "dick rick", "thomas": "tom tommy", "stephen": "steve", "timothy": "tim",
+    "abigail": "abby gail", "albert": "al bert bertie", "alexander": "alex sandy sasha", "alfred": "alf fred freddie", "andrew": "andy drew", "anthony": "tony", "arthur": "art artie", "barbara": "barb babs", "benjamin": "ben benny", "catherine": "cathy kate kitty",
+    "charles": "charlie chuck", "charlotte": "lottie charlie", "christopher": "chris kit", "cynthia": "cindy", "daniel": "dan danny", "david": "dave davy", "deborah": "deb debbie", "dorothy": "dot dolly", "edward": "ed eddie ted ned", "eleanor": "ellie nell nora",
+    "elizabeth": "liz beth betty eliza", "emily": "em millie", "eugene": "gene", "florence": "flo flossie", "frances": "fran frankie", "francis": "frank", "frederick": "fred freddie", "gabriel": "gabe", "george": "georgie", "gerald": "gerry jerry",
+    "gregory": "greg", "harold": "hal harry", "helen": "nell nellie", "henry": "harry hank hal", "isabella": "bella izzy", "jacob": "jake", "james": "jim jimmy jamie", "jennifer": "jen jenny", "jessica": "jess jessie", "john": "jack johnny",
+    "jonathan": "jon jonny", "joseph": "joe joey", "joshua": "josh", "judith": "judy", "katherine": "kate kathy kit", "kenneth": "ken kenny", "lawrence": "larry", "leonard": "leo len lenny", "louis": "lou louie", "margaret": "maggie meg peggy",
+    "martha": "marty patty", "matthew": "matt", "michael": "mike mick", "nathaniel": "nat nate", "nicholas": "nick", "oliver": "ollie", "pamela": "pam", "patricia": "pat patty tricia", "patrick": "pat paddy", "peter": "pete",
+    "philip": "phil pip", "raymond": "ray", "rebecca": "becky", "richard": "dick rick rich", "robert": "bob rob bobby", "ronald": "ron ronnie", "samantha": "sam", "samuel": "sam sammy", "stephen": "steve", "steven": "steve",
+    "susan": "sue susie", "theodore": "ted theo", "theresa": "terry tess", "thomas": "tom tommy", "timothy": "tim", "victoria": "vicky tori", "vincent": "vince", "walter": "walt wally", "william": "bill will billy", "zachary": "zach zack",
 }
 TITLES = {"dr", "prof", "professor", "mr", "mrs", "ms", "mx", "miss", "sir", "dame", "doctor", "herr", "frau"}
-# Kinds of organisations and how they are shortened.
-KINDS = {
-    "laboratory": "lab labs labor", "department": "dept dep", "centre": "center ctr cent", "council": "counc cncl",
-    "observatory": "obs obsy observ", "institute": "inst instit", "commission": "comm commn", "association": "assoc assn",
-    "university": "univ uni", "foundation": "found fdn fndn", "agency": "agcy", "office": "off", "board": "bd",
-    "committee": "cttee", "society": "soc", "college": "coll", "ministry": "min", "authority": "auth",
-}
+#: Kinds of organisations, the commoner ones first; a word abbreviates the first kind that begins alike and has its letters in order.
+KINDS = (
+    "university institute institution centre center department laboratory foundation council commission association agency authority office board committee society "
+    "college ministry observatory academy bureau division federation group museum network organisation school secretariat service trust union"
+).split()
+SAME_KIND = {"center": "centre", "institution": "institute"}
 LEGAL = {"ltd", "corp", "co", "inc", "gmbh", "llc", "plc", "company", "limited", "corporation", "ag", "sa"}
 LINKING = {"for", "f", "of", "the", "and", "on", "in"}
 
 P_TYPO, P_TYPO_MORE, P_INITIAL, P_SHORT, P_NO_KIND, P_LETTERS, P_SELF = 0.02, 0.001, 0.3, 0.5, 0.2, 0.3, 0.001
-NODE = "kind string, name string, rest string, form string"
+#: What makes a word a given name, and two given names forms of one; the most of either that are brought to the driver.
+GIVEN_RECORDS, GIVEN_PARTNERS = 10, 8
+FORM_FAMILIES, FORM_LIFT, FORM_SHARE = 4, 5, 0.25
+MOST_GIVEN = 200_000
+#: Names of this length may have two slips.
+TWO_SLIPS = 8
 
 
 def fold(text: str) -> str:
@@ -85,15 +86,16 @@ def typing_errors(a: str, b: str, most: int = 2) -> int:
 
 
 class Lexicon:
-    """Given names with their short forms, and misspellings of both recognised on the way."""
+    """Given names with their short forms, listed and learned, and misspellings of both recognised on the way."""
 
-    def __init__(self, learned: list[str] = ()):
-        self.formal = set(SHORT_FORMS)
+    def __init__(self, learned: list[str] = (), forms: list[tuple[str, str]] = ()):
         self.short: dict[str, set[str]] = {}
-        for name, forms in SHORT_FORMS.items():
-            for form in forms.split():
+        for name, listed in SHORT_FORMS.items():
+            for form in listed.split():
                 self.short.setdefault(form, set()).add(name)
-        self.formal |= {x for x in learned if x not in self.short}
+        for form, name in forms:
+            self.short.setdefault(form, set()).add(name)
+        self.formal = set(SHORT_FORMS) | {x for x in learned if x not in self.short}
         self.memo: dict[str, tuple[int, frozenset[str]]] = {}
 
     def read(self, word: str) -> tuple[int, frozenset[str]]:
@@ -119,18 +121,29 @@ class Lexicon:
         return hit
 
 
-_KIND_OF = {short: kind for kind, forms in KINDS.items() for short in (kind, *forms.split())}
 _KIND_MEMO: dict[str, str | None] = {}
 
 
+def abbreviates(short: str, word: str) -> bool:
+    """Whether ``short`` begins as ``word`` does, is shorter by two letters or more and has its letters in their order."""
+    if len(short) < 2 or len(short) > len(word) - 2 or short[0] != word[0] or (len(short) == 2 and short[1] != word[-1]):
+        return False
+    rest = iter(word)
+    return all(c in rest for c in short)
+
+
 def kind_of(word: str) -> str | None:
     if word not in _KIND_MEMO:
-        found = _KIND_OF.get(word)
+        plain = word[:-1] if word.endswith("s") and len(word) > 3 else word
+        found = next((k for k in KINDS if k in (word, plain)), None)
         if found is None and len(word) >= 5:
             found = next((k for k in KINDS if typing_errors(word, k, 1) <= 1), None)
+        if found is None:
+            # a prefix before other abbreviations
+            found = next((k for k in KINDS if len(plain) >= 3 and k.startswith(plain) and len(plain) <= len(k) - 2), None) or next((k for k in KINDS if abbreviates(plain, k)), None)
         if len(_KIND_MEMO) > 200_000:
             _KIND_MEMO.clear()
-        _KIND_MEMO[word] = found
+        _KIND_MEMO[word] = SAME_KIND.get(found, found)
     return _KIND_MEMO[word]
 
 
@@ -172,8 +185,8 @@ def parse_organisation(label: str) -> tuple[str, str] | None:
     return own, kind + "|" + " ".join(subject)
 
 
-def parse_person(label: str, lexicon: Lexicon) -> tuple[str, str] | None:
-    """(family name, given) of a person's label; given is a formal name, ``a/b`` for several, ``x.`` for an initial or the word typed."""
+def typed_name(label: str, lexicon: Lexicon) -> tuple[str | None, str]:
+    """(family name, given name or initial as typed) of a person's label; no family name where there is none."""
     text = fold(label).replace("'", "").replace("’", "")
     head, comma, tail = text.partition(",")
     words = re.findall(r"[A-Za-z]+", text)
@@ -191,7 +204,7 @@ def parse_person(label: str, lexicon: Lexicon) -> tuple[str, str] | None:
     low = [w.lower() for w in words]
     long = [w for w in low if len(w) > 1]
     if not long:
-        return None
+        return None, ""
     given = None
     family = None
     before = [w.lower() for w in re.findall(r"[A-Za-z]+", head) if len(w) > 1 and w.lower() not in TITLES]
@@ -205,13 +218,21 @@ def parse_person(label: str, lexicon: Lexicon) -> tuple[str, str] | None:
         first, last = long[0], long[-1]
         a, b = lexicon.read(first)[0], lexicon.read(last)[0]
         family, given = (first, last) if b > a else (last, first)
+    return family, given
+
+
+def parse_person(label: str, lexicon: Lexicon) -> tuple[str, str] | None:
+    """(family name, given) of a person's label; given is a formal name, ``a/b`` for several, ``x.`` for an initial or the word typed."""
+    family, given = typed_name(label, lexicon)
+    if family is None:
+        return None
     if len(given) <= 1:
         return family, given + "." if given else ""
     options = lexicon.read(given)[1]
     return family, "/".join(sorted(options)) if options else given
 
 
-def rest_likelihood(kind: str, variant: str, canonical: str) -> float:
+def rest_likelihood(kind: str, variant: str, canonical: str, formal: frozenset[str] | set[str] = frozenset(SHORT_FORMS)) -> float:
     """Probability of typing the rest of a name as ``variant`` for ``canonical``; 0 where they name different things."""
     if variant == canonical:
         return 1.0
@@ -225,7 +246,7 @@ def rest_likelihood(kind: str, variant: str, canonical: str) -> float:
         if "/" in variant or "/" in canonical:
             common = set(variant.split("/")) & set(canonical.split("/"))
             return P_SHORT / max(1, variant.count("/") + 1) if common and "/" not in canonical else (P_SHORT / 4 if common else 0.0)
-        if variant in SHORT_FORMS and canonical in SHORT_FORMS:
+        if variant in formal and canonical in formal:
             return 0.0
         errors = typing_errors(variant, canonical)
         if errors <= 2 and min(len(variant), len(canonical)) >= 4:
@@ -262,13 +283,13 @@ def rest_likelihood(kind: str, variant: str, canonical: str) -> float:
     return p
 
 
-def log_posterior(kind: str, name: str, rest: str, n: int, to_name: str, to_rest: str, to_n: int) -> float | None:
+def log_posterior(kind: str, name: str, rest: str, n: int, to_name: str, to_rest: str, to_n: int, formal: frozenset[str] | set[str] = frozenset(SHORT_FORMS)) -> float | None:
     """Log of frequency prior times likelihood of typing (name, rest), seen ``n`` times, for the canonical form."""
-    p = rest_likelihood(kind, rest, to_rest)
+    p = rest_likelihood(kind, rest, to_rest, formal)
     if p == 0.0:
         return None
     errors = typing_errors(name, to_name)
-    if errors > 1 and not (errors == 2 and min(len(name), len(to_name)) >= 8):
+    if errors > 1 and not (errors == 2 and min(len(name), len(to_name)) >= TWO_SLIPS):
         return None
     if not errors:
         return math.log(to_n) + math.log(p)
@@ -297,20 +318,61 @@ def records(spark: SparkSession, base: str) -> DataFrame:
 
 
 def learned_given_names(people: DataFrame) -> list[str]:
-    """First words that stand in at least one of 500 people's labels, with many partners: at most 500 names by that share."""
-    words = F.split(F.lower(F.regexp_replace("label", r"[^\p{L} ]", " ")), r"\s+")
-    pairs = people.select(words.alias("w")).where(F.size("w") == 2).select(F.col("w")[0].alias("word"), F.col("w")[1].alias("partner"))
-    pairs = pairs.where("word rlike '^[a-z]{3,}$' and partner rlike '^[a-z]{3,}$'")
-    n = people.count()
-    found = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("partner").alias("partners"))
-    return [r[0] for r in found.where((F.col("n") >= max(10, n // 500)) & (F.col("partners") >= 8)).select("word").collect()]
-
+    """Words that people's labels show to be given names: written first, or behind a comma, at least GIVEN_RECORDS times and
+    with GIVEN_PARTNERS other words or more, and twice as often as they stand where family names stand.
+
+    A word one slip away from another of them that is ten times as frequent is a misspelling of it. The list comes to the
+    driver; a language has some thousands of given names, and more than MOST_GIVEN are refused."""
+    words = lambda c: F.filter(F.split(F.lower(F.regexp_replace(c, r"[^\p{L} ]", " ")), r"\s+"), lambda w: (F.length(w) >= 3) & ~w.isin(*TITLES))
+    parts = F.split("label", ",", 2)
+    head, tail = words(parts[0]), words(F.try_element_at(parts, F.lit(2)))
+    pair = F.when((F.size(tail) == 1) & (F.size(head) == 1), F.struct(tail[0].alias("given"), head[0].alias("family"))).when((F.size(parts) == 1) & (F.size(head) == 2), F.struct(head[0].alias("given"), head[1].alias("family")))
+    pairs = people.select(pair.alias("p")).where("p is not null").select("p.*")
+    each = pairs.select(F.explode(F.array(F.struct(F.col("given").alias("word"), F.col("family").alias("other"), F.lit(1).alias("g")), F.struct(F.col("family").alias("word"), F.col("given").alias("other"), F.lit(0).alias("g")))).alias("e")).select("e.*").where("word rlike '^[a-z]+$'")
+    found = each.groupBy("word").agg(F.sum("g").alias("n"), F.count_if(F.col("g") == 0).alias("f"), F.approx_count_distinct(F.when(F.col("g") == 1, F.col("other"))).alias("partners"))
+    rows = found.where((F.col("n") >= GIVEN_RECORDS) & (F.col("partners") >= GIVEN_PARTNERS) & (F.col("n") >= 2 * F.col("f"))).select("word", "n").limit(MOST_GIVEN + 1).collect()
+    if len(rows) > MOST_GIVEN:
+        raise ValueError(f"more than {MOST_GIVEN} words look like given names")
+    near: dict[str, list[tuple[str, int]]] = {}
+    for word, n in rows:
+        for key in {word} | {word[:k] + word[k + 1 :] for k in range(len(word))}:
+            near.setdefault(key, []).append((word, n))
+    slips = {w for met in near.values() if len(met) > 1 for w, n in met for v, m in met if m >= 10 * n and typing_errors(w, v, 1) == 1}
+    return sorted(w for w, _ in rows if w not in slips)
+
+
+def learned_short_forms(people: DataFrame, learned: list[str]) -> list[tuple[str, str]]:
+    """(short form, given name): given names that stand with the same family names far more often than by chance.
+
+    Families are the baskets, given names the items: a short form is found with its full name in a large part of its
+    families, two unrelated names only by chance. Of a pair, the name in more families is the full one; a name that has a
+    fuller one itself is nobody's full name. Two forms in fewer than FORM_FAMILIES families are not learned."""
 
-def nodes(labels: DataFrame, learned: list[str]) -> DataFrame:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lexicon = Lexicon(learned)
+        for pdf in frames:
+            found = [(family, word) for label in pdf["label"] for family, word in [typed_name(label, lexicon)] if family and len(word) > 1]
+            yield pd.DataFrame(found, columns=["record", "item"])
+
+    listed = {f for fs in SHORT_FORMS.values() for f in fs.split()} | set(SHORT_FORMS)
+    baskets = people.select("label").distinct().mapInPandas(run, "record string, item string").where(F.length("item") >= 2)
+    scored = pair_scores(baskets, FORM_FAMILIES, FORM_LIFT).where(F.col("n_ab") >= FORM_SHARE * F.least("n_a", "n_b"))
+    rows = scored.select("item_a", "item_b", "n_a", "n_b").limit(MOST_GIVEN + 1).collect()
+    if len(rows) > MOST_GIVEN:
+        raise ValueError(f"more than {MOST_GIVEN} pairs look like short forms")
+    fuller: dict[str, set[str]] = {}
+    for a, b, n_a, n_b in rows:
+        if typing_errors(a, b, 2) > 2 or min(len(a), len(b)) < 4:
+            short, full = (a, b) if (n_a, a) < (n_b, b) else (b, a)
+            fuller.setdefault(short, set()).add(full)
+    return sorted((short, full) for short, fulls in fuller.items() if short not in SHORT_FORMS for full in fulls if full not in fuller and (full in SHORT_FORMS or full not in listed))
+
+
+def nodes(labels: DataFrame, learned: list[str], forms: list[tuple[str, str]] = ()) -> DataFrame:
     """(label, kind given, kind, name, rest) of distinct labels."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lexicon = Lexicon(learned)
+        lexicon = Lexicon(learned, forms)
         for pdf in frames:
             out = []
             for label, given_kind in zip(pdf["label"], pdf["kind"], strict=True):
@@ -319,7 +381,7 @@ def nodes(labels: DataFrame, learned: list[str]) -> DataFrame:
                     words = [w.lower() for w in re.findall(r"[A-Za-z]+", fold(label))]
                     bare = [w for w in words if w not in TITLES]
                     has_given = any(lexicon.read(w)[0] for w in bare)
-                    is_org = any(_KIND_OF.get(w) for w in bare if len(w) > 2) or (bare and bare[-1] in LEGAL) or (len([w for w in bare if len(w) > 1]) >= 3 and not has_given)
+                    is_org = any(kind_of(w) for w in bare if len(w) > 2 and not lexicon.read(w)[0]) or (bare and bare[-1] in LEGAL) or (len([w for w in bare if len(w) > 1]) >= 3 and not has_given)
                     kind = "organisation" if is_org else "person"
                 parsed = parse_person(label, lexicon) if kind == "person" else parse_organisation(label)
                 if parsed:
@@ -329,58 +391,66 @@ def nodes(labels: DataFrame, learned: list[str]) -> DataFrame:
     return labels.mapInPandas(run, "label string, given_kind string, kind string, name string, rest string")
 
 
-def attributions(spellings: DataFrame) -> DataFrame:
+def attributions(spellings: DataFrame, formal: frozenset[str] = frozenset(SHORT_FORMS)) -> DataFrame:
     """(node, canonical): for every spelling (node, kind, name, rest, n) that is better explained by another, that other one."""
 
     def keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             out = []
             for node, kind, name, rest in zip(pdf["node"], pdf["kind"], pdf["name"], pdf["rest"], strict=True):
-                # people are further blocked by the initials their given name may have
-                starts = {x[0] for x in rest.split("/") if x} if kind == "person" else {""}
-                near = {name} | {name[:k] + name[k + 1 :] for k in range(len(name))} if len(name) >= 4 else {name}
-                if len(name) >= 9:
+                # people are further blocked by the initials their given name may have, organisations by their kind and by the
+                # first letter of their subject: two that can be one have one of these in common
+                if kind == "person":
+                    blocks = {x[0] for x in rest.split("/") if x} or {"?"}
+                else:
+                    of_kind, _, subject = rest.partition("|")
+                    blocks = {"=" + of_kind, subject[:1]}
+                near = {name} | {name[:k] + name[k + 1 :] for k in range(len(name))} if len(name) >= 2 else {name}
+                if len(name) >= TWO_SLIPS:
                     near |= {x[:k] + x[k + 1 :] for x in list(near) if len(x) < len(name) for k in range(len(x))}
-                out.extend((node, f"{kind[0]}{start}{key}") for start in starts or {"?"} for key in near)
+                out.extend((node, f"{kind[0]}{block}|{key}") for block in blocks for key in near)
             yield pd.DataFrame(out, columns=["node", "key"])
 
-    keyed = cut(spellings.mapInPandas(keys, "node bigint, key string").distinct())
-    met = keyed.alias("a").join(keyed.alias("b"), "key").where("a.node <> b.node").select(F.col("a.node").alias("node"), F.col("b.node").alias("other")).distinct()
+    # two long names meet under many keys: the pair is kept once
+    keyed = cut(spread(spellings, "node").mapInPandas(keys, "node string, key string").distinct())
+    left, right = salted(keyed, keyed.select(F.col("node").alias("other"), "key"), ["key"])
+    met = left.join(right, ["key", "_salt"]).where("node <> other").select("node", "other").distinct()
     side = lambda s: spellings.select(F.col("node").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("name", "rest", "n")])
     pairs = met.join(spellings, "node").join(side("other"), "other")
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            found = [log_posterior(*x) for x in zip(pdf["kind"], pdf["name"], pdf["rest"], pdf["n"], pdf["other_name"], pdf["other_rest"], pdf["other_n"], strict=True)]
+            found = [log_posterior(*x, formal) for x in zip(pdf["kind"], pdf["name"], pdf["rest"], pdf["n"], pdf["other_name"], pdf["other_rest"], pdf["other_n"], strict=True)]
             own = [math.log(n * P_SELF) for n in pdf["n"]]
             keep = [s is not None and s > o for s, o in zip(found, own, strict=True)]
             out = pdf.loc[keep, ["node", "other", "other_n"]].copy()
             out["score"] = [s for s, k in zip(found, keep, strict=True) if k]
             yield out
 
-    scored = pairs.mapInPandas(score, "node bigint, other bigint, other_n bigint, score double")
-    best = scored.groupBy("node").agg(F.max_by("other", F.struct("score", "other_n", (-F.col("other")).alias("o"))).alias("canonical"))
+    scored = pairs.mapInPandas(score, "node string, other string, other_n bigint, score double")
+    best = scored.groupBy("node").agg(F.min_by("other", F.struct((-F.col("score")).alias("s"), (-F.col("other_n")).alias("n"), "other")).alias("canonical"))
     return best
 
 
 def linked(spark: SparkSession, base: str) -> DataFrame:
     """(record_id, group) of every record that names somebody."""
     rows = cut(records(spark, base))
-    learned = learned_given_names(rows.where("kind = 'person'"))
-    parsed = nodes(rows.select("label", "kind").distinct(), learned)
-    placed = cut(rows.withColumnRenamed("kind", "given_kind").join(parsed, ["label", "given_kind"]))
-    # a spelling's number is a function of the spelling, so a recomputed task gives the same one
-    spellings = cut(placed.groupBy("kind", "name", "rest").agg(F.count(F.lit(1)).alias("n")).withColumn("node", F.xxhash64("kind", "name", "rest")))
-    links = cut(attributions(spellings))
-    groups = components(links.select(F.col("node").cast("string").alias("a"), F.col("canonical").cast("string").alias("b")))
-    key = F.xxhash64("kind", "name", "rest").cast("string")
-    return placed.select("record_id", key.alias("node")).join(groups, "node", "left").select("record_id", F.coalesce("component", "node").alias("group"))
+    people = rows.where("kind = 'person'")
+    learned = learned_given_names(people)
+    forms = learned_short_forms(people, learned)
+    parsed = nodes(spread(rows.select("label", "kind").distinct(), "label"), learned, forms)
+    # a spelling's name is its text, so that no two are ever taken for one
+    placed = cut(rows.withColumnRenamed("kind", "given_kind").join(parsed, ["label", "given_kind"]).withColumn("node", F.concat_ws("|", "kind", "name", "rest")))
+    spellings = cut(placed.groupBy("kind", "name", "rest", "node").agg(F.count(F.lit(1)).alias("n")))
+    links = cut(attributions(spellings, frozenset(Lexicon(learned, forms).formal)))
+    groups = components(links.select(F.col("node").alias("a"), F.col("canonical").alias("b")))
+    return placed.select("record_id", "node").join(groups, "node", "left").select("record_id", F.coalesce("component", "node").alias("group"))
 
 
 def p2_found(spark: SparkSession, base: str) -> DataFrame:
     found = cut(linked(spark, base))
-    left, right = found.select("group", F.col("record_id").alias("left_id")), found.select("group", F.col("record_id").alias("right_id"))
-    return left.join(right, "group").where("left_id < right_id").select("left_id", "right_id")
+    left, right = salted(found.select("group", F.col("record_id").alias("left_id")), found.select("group", F.col("record_id").alias("right_id")), ["group"])
+    return left.join(right, ["group", "_salt"]).where("left_id < right_id").select("left_id", "right_id")
 
 
 def p2_groups(spark: SparkSession, base: str) -> DataFrame:

@@ -4,7 +4,8 @@ Candidate cuts are the ends of paragraphs, lines, sentences, clauses and words,
 has none (a long URL, text without spaces) every position up to the limit becomes a candidate at the highest penalty.
 A dynamic programme over the candidates picks the cuts that minimise the sum of penalties and of squared deviations
 from even piece length, no piece being longer than the limit, its overlap included. Each piece after the first
-begins about ``overlap`` characters before the previous cut, at a word start where one is near.
+begins ``overlap`` characters before the previous cut or, where a word starts within the quarter of them that follows,
+there; so neighbours share between three quarters of ``overlap`` and all of it (less only where a piece is shorter).
 
 Lengths are code points. Leading and trailing spaces, tabs, CR and LF are not part of an item. Offsets count from
 the trimmed item's start; the pieces' own parts (``body_start`` to ``end``) concatenate to the whole item.
@@ -15,7 +16,6 @@ rows is split once; ties fall to the earlier cut. Whole texts are processed, one
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,37 +27,51 @@ from symposia.runtime import read
 
 BODY_LIMIT, BODY_OVERLAP = 1200, 100
 META_LIMIT, META_OVERLAP = 600, 60
-_SENTENCE = re.compile(r"[.!?…。！？؟][\"'”’)\]]*(?=\s|$)|[。！？]")
-_PARAGRAPH = re.compile(r"\n[ \t\r]*\n\s*")
-_LINE = re.compile(r"\r?\n\s*")
-_CLAUSE = re.compile(r"[,;:،、，；–—]\s+|[，；、]")
-_SPACE = re.compile(r"\s+")
+LIMITS = {"answers": (BODY_LIMIT, BODY_OVERLAP), "entities": (META_LIMIT, META_OVERLAP)}
 _COST = {"paragraph": 0.0, "line": 0.05, "sentence": 0.1, "clause": 0.5, "word": 1.0, "none": 4.0}
 SCHEMA = "origin string, item_key string, field string, piece int, pieces int, start int, body_start int, end int, boundary string, text string"
 
 
+def _marks(chars: str) -> np.ndarray:
+    return np.array(sorted(map(ord, chars)), dtype=np.uint32)
+
+
+_ENDERS, _FULL_STOPS, _CLOSERS = _marks(".!?…。！？؟"), _marks("。！？"), _marks("\"'”’)]")
+_CLAUSES, _FULL_COMMAS = _marks(",;:،、，；–—"), _marks("，；、")
+_WHITE = _marks("".join(c for c in map(chr, range(0x3001)) if c.isspace()))
+
+
 def boundaries(text: str, room: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted cut positions of a text (its end last) and their penalties; gaps wider than ``room`` are filled up."""
-    cost: dict[int, float] = {}
-    for pattern, kind in ((_SPACE, "word"), (_CLAUSE, "clause"), (_SENTENCE, "sentence"), (_LINE, "line"), (_PARAGRAPH, "paragraph")):
-        for m in pattern.finditer(text):
-            at = m.end()
-            if kind == "sentence":
-                while at < len(text) and text[at].isspace():
-                    at += 1
-            if 0 < at < len(text):
-                cost[at] = min(_COST[kind], cost.get(at, 9.0))
-    cost[len(text)] = 0.0
-    spots = sorted(cost)
-    if max(np.diff([0, *spots]), default=0) > room:
-        before = 0
-        for at in spots:
-            if at - before > room:
-                for p in range(before + 1, at):
-                    cost[p] = _COST["none"]
-            before = at
-        spots = sorted(cost)
-    return np.array(spots, dtype=np.int64), np.array([cost[p] for p in spots])
+    """Sorted cut positions of a text (its end last) and their penalties; gaps wider than ``room`` are filled up.
+
+    Every run of white space ends in a cut, whose kind is read from the run (two line ends: paragraph, one: line) and from
+    the character before it, closing quotes and brackets aside; full-width stops and commas cut without white space."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    n = len(codes)
+    white = np.isin(codes, _WHITE)
+    edge = np.diff(np.concatenate(([False], white, [False])).astype(np.int8))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    lines = np.concatenate(([0], np.cumsum(codes == 10)))
+    breaks = lines[ends] - lines[starts]
+    before = starts - 1
+    clause = (before >= 0) & np.isin(codes[before], _CLAUSES)
+    while (closed := (before >= 0) & np.isin(codes[before], _CLOSERS)).any():
+        before = before - closed
+    sentence = (before >= 0) & np.isin(codes[before], _ENDERS)
+    kinds = np.where(breaks > 1, _COST["paragraph"], np.where(breaks == 1, _COST["line"], np.where(sentence, _COST["sentence"], np.where(clause, _COST["clause"], _COST["word"]))))
+    cost = np.full(n + 1, np.inf)
+    for marks, kind in ((_FULL_COMMAS, "clause"), (_FULL_STOPS, "sentence")):
+        cost[np.flatnonzero(np.isin(codes, marks)) + 1] = _COST[kind]
+    # a full-width mark in front of white space cuts behind it, as others do
+    cost[starts] = np.inf
+    cost[ends] = kinds
+    cost[0], cost[n] = np.inf, 0.0
+    spots = np.flatnonzero(cost < np.inf)
+    gaps = np.diff(spots, prepend=0)
+    for at, gap in zip(spots[gaps > room], gaps[gaps > room], strict=True):
+        cost[at - gap + 1 : at] = _COST["none"]
+    spots = np.flatnonzero(cost < np.inf)
+    return spots, cost[spots]
 
 
 def _overlap_start(text: str, cut: int, overlap: int, floor: int) -> int:
@@ -76,18 +90,24 @@ def split(text: str, limit: int, overlap: int) -> list[tuple[int, int, int, floa
     n = len(text)
     count = -(-max(1, n - overlap) // room)
     even = n / count
-    best = np.full(len(spots), np.inf)
-    back = np.full(len(spots), -1, dtype=np.int64)
+    # ((x - y - even) / even) ** 2 in units of even is a square of each end and a product: one multiplication a candidate
+    place = spots / even
+    square = place * place
+    best, back = np.full(len(spots), np.inf), np.full(len(spots), -1, dtype=np.int64)
+    held = np.full(len(spots), np.inf)  # best plus the square of its place
+    low = np.searchsorted(spots, spots - room)
     for j in range(len(spots)):
-        at = spots[j]
-        if at <= limit:  # the first piece has no overlap in front
-            best[j] = cost[j] + ((at - even) / even) ** 2
-        lo = int(np.searchsorted(spots, at - room))
+        x = place[j] - 1
+        if spots[j] <= limit:  # the first piece has no overlap in front
+            best[j] = cost[j] + x * x
+        lo = low[j]
         if lo < j:
-            before = best[lo:j] + ((at - spots[lo:j] - even) / even) ** 2
-            k = int(np.argmin(before))
-            if before[k] + cost[j] < best[j]:
-                best[j], back[j] = before[k] + cost[j], lo + k
+            ways = held[lo:j] - (2 * x) * place[lo:j]
+            k = ways.argmin()
+            found = ways[k] + x * x + cost[j]
+            if found < best[j]:
+                best[j], back[j] = found, lo + k
+        held[j] = best[j] + square[j]
     cuts = []
     j = len(spots) - 1
     while j >= 0:
@@ -101,6 +121,17 @@ def split(text: str, limit: int, overlap: int) -> list[tuple[int, int, int, floa
     return out
 
 
+def _count_rows(limit: dict[str, tuple[int, int]]):
+    """Like ``_split_rows``, giving the number of pieces only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [len(split(text.as_py(), *limit[origin.as_py()])) for origin, text in zip(batch.column(0), batch.column(3), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(counts, pa.int32())], names=["origin", "item_key", "field", "pieces"])
+
+    return run
+
+
 def _split_rows(limit: dict[str, tuple[int, int]]):
     names = {v: k for k, v in _COST.items()}
 
@@ -132,12 +163,13 @@ def oversized(spark: SparkSession, base: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, base: str) -> DataFrame:
-    limits = {"answers": (BODY_LIMIT, BODY_OVERLAP), "entities": (META_LIMIT, META_OVERLAP)}
-    return oversized(spark, base).mapInArrow(_split_rows(limits), SCHEMA)
+    return oversized(spark, base).mapInArrow(_split_rows(LIMITS), SCHEMA)
 
 
 def p1_found(spark: SparkSession, base: str) -> DataFrame:
-    return pieces(spark, base).where("pieces > 1").select("origin", "item_key", "field").distinct()
+    """The items that the splitter cuts into more than one piece."""
+    counted = oversized(spark, base).mapInArrow(_count_rows(LIMITS), "origin string, item_key string, field string, pieces int")
+    return counted.where("pieces > 1").select("origin", "item_key", "field").distinct()
 
 
 def p1_pieces(spark: SparkSession, base: str) -> DataFrame:
