@@ -26,9 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from symposia.llm.tokens import encode_column
-from symposia.runtime import cut, read
+from symposia.runtime import cut, lookup, read
 
 BLOCK_ROWS = 50_000
+LEAST_BLOCK = 2_000
 SEED = 20_240_101
 EPS = 1e-9
 
@@ -36,36 +37,36 @@ EPS = 1e-9
 def flight(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Move undecided chances to 0 or 1, keeping their sum and the sum of chance * size; leaves at most two undecided."""
     p = chance.astype(float).copy()
-    undecided = [int(i) for i in np.flatnonzero((p > EPS) & (p < 1 - EPS))]
-    waiting = iter(undecided)
-    hand: list[int] = []
-    draw = np.random.default_rng(len(p) + SEED)
-    coins = draw.random(2 * len(undecided) + 8)
+    undecided = np.flatnonzero((p > EPS) & (p < 1 - EPS))
+    coins = np.random.default_rng(len(p) + SEED).random(2 * len(undecided) + 8).tolist()
+    # plain numbers: a step moves three of them
+    waiting = iter(zip(undecided.tolist(), p[undecided].tolist(), size[undecided].astype(float).tolist(), strict=True))
+    hand: list[tuple[int, float, float]] = []
     turn = 0
     while True:
-        while len(hand) < 3:
-            nxt = next(waiting, None)
-            if nxt is None:
-                break
+        while len(hand) < 3 and (nxt := next(waiting, None)) is not None:
             hand.append(nxt)
         if len(hand) < 3:
+            for i, x, _ in hand:
+                p[i] = x
             return p
-        i, j, k = hand
-        u = np.array([size[k] - size[j], size[i] - size[k], size[j] - size[i]], dtype=float)
-        if not u.any():
-            u = np.array([1.0, -1.0, 0.0])
-        u /= np.abs(u).max()
-        three = np.array([p[i], p[j], p[k]])
-        with np.errstate(divide="ignore", invalid="ignore"):
-            room_up = np.where(u > 0, (1 - three) / u, np.where(u < 0, -three / u, np.inf)).min()
-            room_down = np.where(u > 0, three / u, np.where(u < 0, -(1 - three) / u, np.inf)).min()
-        up = coins[turn % len(coins)] * (room_up + room_down) < room_down
+        (i, a, s), (j, b, t), (k, c, r) = hand
+        u = (r - t, s - r, t - s)
+        most = max(abs(u[0]), abs(u[1]), abs(u[2]))
+        u = (u[0] / most, u[1] / most, u[2] / most) if most else (1.0, -1.0, 0.0)
+        up = min((1 - x) / d if d > 0 else -x / d for x, d in ((a, u[0]), (b, u[1]), (c, u[2])) if d)
+        down = min(x / d if d > 0 else (x - 1) / d for x, d in ((a, u[0]), (b, u[1]), (c, u[2])) if d)
+        go = up if coins[turn % len(coins)] * (up + down) < down else -down
         turn += 1
-        three = three + u * (room_up if up else -room_down)
-        three[three < EPS] = 0.0
-        three[three > 1 - EPS] = 1.0
-        p[[i, j, k]] = three
-        hand = [x for x in hand if 0.0 < p[x] < 1.0]
+        hand = []
+        for at, x, d, n in ((i, a, u[0], s), (j, b, u[1], t), (k, c, u[2], r)):
+            x += d * go
+            if x < EPS:
+                p[at] = 0.0
+            elif x > 1 - EPS:
+                p[at] = 1.0
+            else:
+                hand.append((at, x, n))
 
 
 def landing(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -92,14 +93,18 @@ def balanced_copies(units: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame
 
         return run
 
-    decided, open_units = [], units
+    decided, open_units, before = [], units, None
+    tasks = units.sparkSession.sparkContext.defaultParallelism
     while True:
-        sizes = open_units.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+        sizes = cut(open_units.groupBy("source").agg(F.count(F.lit(1)).alias("n")))
         largest = sizes.agg(F.max("n")).first()[0] or 0
-        blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / block_rows)).cast("int")
+        # the first round has a block a core at least, though none of fewer than LEAST_BLOCK documents
+        rows = min(block_rows, max(LEAST_BLOCK, -(-largest // tasks))) if before is None else block_rows
+        before = largest
+        blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / rows)).cast("int")
         order = F.xxhash64("unit", F.lit(SEED))
-        placed = open_units.join(F.broadcast(sizes), "source").select(*[F.col(c) for c in units.columns], order.alias("order"), F.pmod(F.shiftright(order, 7), blocks).cast("int").alias("block"))
-        last = largest <= block_rows
+        placed = lookup(open_units, sizes, ["source"], "inner").select(*[F.col(c) for c in units.columns], order.alias("order"), F.pmod(F.shiftright(order, 7), blocks).cast("int").alias("block"))
+        last = largest <= rows
         done = cut(placed.groupBy("source", "block").applyInPandas(fly(last), shape))
         if last:
             decided.append(done)
@@ -146,7 +151,7 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None)
     wanted = F.least(F.col("copies_wanted"), F.col("max_repeats").cast("double"))
     # rounding noise just under a whole number is that whole number
     whole = F.floor(wanted + 1e-9)
-    units = docs.join(F.broadcast(plan.where("copies_wanted > 0").select("source", "copies_wanted", "max_repeats")), "source").select(
+    units = lookup(docs, plan.where("copies_wanted > 0").select("source", "copies_wanted", "max_repeats"), ["source"], "inner").select(
         "unit", "source", "tokens", whole.cast("bigint").alias("certain"), F.greatest(F.lit(0.0), wanted - whole).alias("chance")
     )
     return balanced_copies(units).where("copies > 0"), plan
@@ -154,8 +159,8 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None)
 
 def _corpus(spark: SparkSession, base: str) -> DataFrame:
     docs = read(spark, base, "documents")
-    sized = encode_column(docs.select("doc_id", "text", "source"), "doc_id", "text", counts_only=True)
-    return cut(docs.select("doc_id", "source").join(sized, "doc_id").select(F.col("doc_id").alias("unit"), "source", "tokens"))
+    sized = encode_column(docs.select(F.struct("doc_id", "source").alias("doc"), "text"), "doc", "text", counts_only=True)
+    return cut(sized.select(F.col("doc.doc_id").alias("unit"), "doc.source", "tokens"))
 
 
 def p9_shares(spark: SparkSession, base: str) -> DataFrame:
@@ -165,7 +170,7 @@ def p9_shares(spark: SparkSession, base: str) -> DataFrame:
         F.sum(F.col("tokens") * F.col("copies")).alias("reached"), F.count(F.lit(1)).alias("used"), F.sum("copies").alias("copies"), F.max("copies").alias("most_copies")
     )
     total = got.agg(F.sum("reached").alias("total"))
-    rows = plan.join(F.broadcast(got), "source", "left").join(F.broadcast(total), how="left", on=F.lit(True))
+    rows = lookup(plan, cut(got), ["source"]).join(F.broadcast(total), how="left", on=F.lit(True))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     return rows.select(
         "source", "target_share", "share", "max_repeats", "documents", zero("used"), zero("copies"), zero("most_copies"), "available", zero("reached"),

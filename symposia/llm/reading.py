@@ -6,9 +6,11 @@ it is harmonic: a word is as difficult as the mean of the documents that use it,
 rarer words weighing more and repeated ones by the root of their number, so that a long text counts by what fills it. The two cuts between the bands are then put where they agree best with all graded
 documents, judged by what their words alone say of them.
 
-One iteration is one pass over the documents' word lists: scores of words go out, partial sums per word come back.
-While the vocabulary has at most ``DENSE_WORDS`` words (counted, not assumed) it travels as one array of doubles;
-beyond that the same step runs as a join of edges with a word table. Both give the same scores.
+Words are numbered by a hash into ``WORD_BUCKETS`` places, so a document needs no shuffle to find its words' numbers and
+what travels between two rounds is one array of fixed size, however large the corpus and its vocabulary are; the few
+words that share a place share a difficulty. One round is one pass over the documents' word lists: scores of words go out,
+partial sums per word come back. Rounds end when no difficulty moves by ``TOLERANCE`` any more (root mean square over
+all uses of words); should that not come about in ``MOST_ROUNDS``, an error says what is left.
 
 Which documents are English is told from their words, not from ``lang``: every line or sentence is given to the
 language whose function words it holds most of, letters of other scripts count against English, and more than half
@@ -22,7 +24,7 @@ ties between languages fall to English, equally good cuts to the middle of the l
 from __future__ import annotations
 
 import re
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,12 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from symposia.runtime import cut, read
+from symposia.runtime import cut, drop, lookup, read, spread
 
 GRADES = {"basic": 0.0, "intermediate": 1.0, "advanced": 2.0}
 LEAST_CHARS = 300
-DENSE_WORDS = 1_000_000
-MOST_ROUNDS, TOLERANCE = 10, 2e-3
+WORD_BUCKETS = 1 << 20
+MOST_ROUNDS, TOLERANCE = 200, 1e-4
+#: Earlier points that a round is mixed from.
+MEMORY = 4
 BINS = 2000
 
 # Frequent function words by language.
@@ -48,10 +52,13 @@ FUNCTION_WORDS = {
     "pt": "o os as de do da dos das e um uma é que em por para com não se ao como mais seu sua foi mas são ou quando no na nos sobre este esta há ser muito sem",
     "nl": "de het een en van is dat in te op met niet zijn voor aan er als ook door naar om bij uit dan maar hij zij wordt over of worden geen kan heeft was",
 }
-_BY_WORD: dict[str, list[str]] = {}
-for _lang, _words in FUNCTION_WORDS.items():
-    for _w in _words.split():
-        _BY_WORD.setdefault(_w, []).append(_lang)
+#: The languages of each function word as a number: one field of 16 bits a language, so that sums count all at once.
+_FIELD = 16
+_LANGUAGES = list(FUNCTION_WORDS)
+_MARK: dict[str, int] = {}
+for _k, _words in enumerate(FUNCTION_WORDS.values()):
+    for _w in set(_words.split()):
+        _MARK[_w] = _MARK.get(_w, 0) + (1 << (_FIELD * _k))
 _SEGMENT = re.compile(r"[\n\r.!?。！？؟|]+")
 _WORD = re.compile(r"[^\W\d_]+")
 _TERM = re.compile(r"[^\W\d_][^\W\d_'’]+")
@@ -62,50 +69,64 @@ def english(text: str | None) -> bool:
     if not text:
         return False
     own = other = 0
-    for segment in _SEGMENT.split(text):
-        words = _WORD.findall(segment.lower())
+    plain, mark, mask = text.isascii(), _MARK, (1 << _FIELD) - 1
+    for segment in _SEGMENT.split(text.lower()):
+        words = _WORD.findall(segment)
         if not words:
             continue
-        latin = foreign = 0
-        hits: dict[str, int] = {}
-        for w in words:
-            if w[0] < "ɐ":
-                latin += len(w)
-                for lang in _BY_WORD.get(w, ()):
-                    hits[lang] = hits.get(lang, 0) + 1
-            else:
-                foreign += len(w)
-        other += foreign
-        if hits:
-            best = max(hits.items(), key=lambda x: (x[1], x[0] == "en"))
-            if best[0] == "en":
-                own += latin
-            else:
-                other += latin
+        letters = sum(map(len, words))
+        if not plain:
+            foreign = sum([len(w) for w in words if w[0] >= "ɐ"])
+            other += foreign
+            letters -= foreign
+        # a field overflows only where one segment holds 65,536 function words of a language: such a one is read in parts
+        for at in range(0, len(words), 60_000):
+            part = words if len(words) <= 60_000 else words[at : at + 60_000]
+            hits = sum([mark[w] for w in part if w in mark])
+            if hits:
+                counts = [(hits >> (_FIELD * k)) & mask for k in range(len(_LANGUAGES))]
+                if counts[0] >= max(counts):
+                    own += letters * len(part) // len(words)
+                else:
+                    other += letters * len(part) // len(words)
     return own > other
 
 
-def terms(text: str) -> dict[str, int]:
-    """Words of two letters or more, in lower case, with their numbers."""
-    return dict(sorted(Counter(w.replace("’", "'").strip("'") for w in _TERM.findall(text.lower())).items()))
+class Places(dict):
+    """The place of each word, remembered; words are taken without apostrophes at their ends."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        place = self[word] = zlib.crc32(word.strip("'").encode()) & (WORD_BUCKETS - 1)
+        return place
+
+
+def terms(text: str, places: Places) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the words of two letters or more in a text, and how often each is taken."""
+    words = _TERM.findall(text.lower().replace("’", "'"))
+    return np.unique(np.fromiter(map(places.__getitem__, words), dtype=np.int32, count=len(words)), return_counts=True)
 
 
 def english_terms(docs: DataFrame) -> DataFrame:
-    """(doc_id, terms, times) of the documents written mainly in English."""
+    """(doc_id, ids, times) of the documents written mainly in English."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = Places()
         for batch in batches:
-            keys, lists, times = [], [], []
+            keys, ids, times = [], [np.empty(0, np.int32)], [np.empty(0, np.int32)]
             for key, value in zip(batch.column(0), batch.column(1), strict=True):
                 text = value.as_py()
                 if english(text):
+                    found, counts = terms(text, places)
                     keys.append(key.as_py())
-                    found = terms(text)
-                    lists.append(list(found))
-                    times.append(list(found.values()))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(lists, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int32()))], names=["doc_id", "terms", "times"])
+                    ids.append(found)
+                    times.append(counts.astype(np.int32))
+            offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in ids[1:]], dtype=np.int64))).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x), pa.int32())) for x in (ids, times)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *lists], names=["doc_id", "ids", "times"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, terms array<string>, times array<int>")
+    return spread(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), "doc_id").mapInArrow(run, "doc_id bigint, ids array<int>, times array<int>")
 
 
 def grades(labels: DataFrame) -> DataFrame:
@@ -116,106 +137,102 @@ def grades(labels: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.percentile("grade", F.lit(0.5)).alias("grade"))
 
 
-def _word_table(graph: DataFrame) -> tuple[DataFrame, int]:
-    """(word, id, df, weight) of the words that two documents or more share; ids are dense."""
-    total = graph.count()
-    counts = graph.select(F.explode("terms").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    spark = graph.sparkSession
-    counts = cut(counts)
-    # dense ids without one global sort: number inside each partition, then add the partitions' offsets
-    placed = counts.withColumn("part", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
-    sizes = {r["part"]: r["count"] for r in placed.groupBy("part").count().collect()}
-    offset, at = [], 0
-    for part in sorted(sizes):
-        offset.append((part, at))
-        at += sizes[part]
-    if not offset:
-        offset = [(0, 0)]
-    offsets = spark.createDataFrame(offset, "part int, base long")
-    words = placed.join(F.broadcast(offsets), "part").select("word", (F.col("row") + F.col("base")).cast("int").alias("id"), "df", F.log(F.lit(float(total)) / F.col("df")).alias("weight"))
-    return cut(words), at
-
-
-def harmonic_dense(graph: DataFrame, words: DataFrame, size: int, rounds: int = MOST_ROUNDS) -> DataFrame:
-    """(doc_id, grade, score) with the words' scores kept as one array."""
+def _by_place(rows: DataFrame, names: list[str]) -> list[np.ndarray]:
+    """Arrays over all places of the sums of (id, names) rows; at most WORD_BUCKETS rows come to the driver."""
+    found = rows.groupBy("id").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
+    out = []
+    for name in names:
+        full = np.zeros(WORD_BUCKETS)
+        full[found.column("id").to_numpy()] = found.column(name).to_numpy()
+        out.append(full)
+    return out
+
+
+def _flat(column: pa.ListArray) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False)
+
+
+def document_frequencies(graph: DataFrame) -> np.ndarray:
+    """In how many documents each place is taken."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(WORD_BUCKETS, np.int64)
+        for batch in batches:
+            counts += np.bincount(_flat(batch.column(0)), minlength=WORD_BUCKETS)
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], names=["id", "n"])
+
+    return _by_place(graph.select("ids").mapInArrow(run, "id int, n bigint"), ["n"])[0]
+
+
+def harmonic(graph: DataFrame, most_rounds: int = MOST_ROUNDS) -> DataFrame:
+    """(doc_id, grade, score) of documents (doc_id, ids, times, grade): the score its words give a document when difficulty is harmonic."""
     sc = graph.sparkSession.sparkContext
-    df, weight = np.ones(size), np.zeros(size)
-    for r in words.select("id", "df", "weight").toLocalIterator():
-        df[r["id"]], weight[r["id"]] = r["df"], r["weight"]
+    df, total = document_frequencies(graph), graph.count()
+    # words of one document only, and of all, tell nothing
+    weight = np.where(df > 1, np.log(total / np.maximum(df, 1)), 0.0)
     mean = graph.where("grade is not null").agg(F.avg("grade")).first()[0]
 
-    def pass_over(score, known: bool, out: str):
+    def pass_over(score: np.ndarray, graded_only: bool, out: str):
         shared = sc.broadcast((score, weight))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             score, weight = shared.value
-            sums, hits = np.zeros(len(weight)), np.zeros(len(weight))
+            sums, hits = (np.zeros(len(weight)), np.zeros(len(weight))) if out == "words" else (None, None)
             for batch in batches:
-                lists = batch.column(1)
-                ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                lengths = np.diff(lists.offsets.to_numpy())
+                ids, lengths = _flat(batch.column(1)), np.diff(batch.column(1).offsets.to_numpy())
                 rows = np.repeat(np.arange(len(lengths)), lengths)
-                grade = batch.column(2).to_numpy(zero_copy_only=False).astype(float)
-                grade = np.where(batch.column(2).is_valid().to_numpy(zero_copy_only=False), grade, np.nan)
-                tf = np.sqrt(batch.column(3).flatten().to_numpy(zero_copy_only=False).astype(float))
+                grade = batch.column(3).to_numpy(zero_copy_only=False).astype(float)
+                tf = np.sqrt(_flat(batch.column(2)).astype(float))
                 w = weight[ids] * tf
                 den = np.bincount(rows, w, len(lengths))
                 own = np.where(den > 0, np.bincount(rows, w * score[ids], len(lengths)) / np.where(den > 0, den, 1), mean)
                 if out == "docs":
-                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(own)], names=["doc_id", "grade", "score"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array(own)], names=["doc_id", "grade", "score"])
                     continue
-                clamped = np.where(np.isnan(grade), own, grade)
-                use = ~np.isnan(grade) if not known else np.ones(len(grade), bool)
-                at = use[rows]
-                sums += np.bincount(ids[at], tf[at] * clamped[rows[at]], len(weight))
-                hits += np.bincount(ids[at], tf[at], len(weight))
+                told = np.where(np.isnan(grade), own, grade)
+                if graded_only:
+                    tf = tf * ~np.isnan(grade)[rows]
+                    told = np.where(np.isnan(grade), 0.0, grade)
+                sums += np.bincount(ids, tf * told[rows], len(weight))
+                hits += np.bincount(ids, tf, len(weight))
             if out == "words":
                 some = np.flatnonzero(hits)
                 yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(sums[some]), pa.array(hits[some])], names=["id", "total", "hits"])
 
         schema = "doc_id bigint, grade double, score double" if out == "docs" else "id int, total double, hits double"
-        return graph.select("doc_id", "ids", "grade", "times").mapInArrow(run, schema)
-
-    score = np.full(size, float(mean))
-    for turn in range(rounds):
-        # the first round hears graded documents only, later ones every document
-        part = pass_over(score, turn > 0, "words").groupBy("id").agg(F.sum("total").alias("total"), F.sum("hits").alias("hits"))
-        new = score.copy()
-        for r in part.toLocalIterator():
-            new[r["id"]] = round((r["total"] + (mean if turn == 0 else 0.0)) / (r["hits"] + (1.0 if turn == 0 else 0.0)), 12)
-        moved = float(np.abs(new - score).mean()) if size else 0.0
-        score = new
-        if moved < TOLERANCE and turn > 1:
-            break
-    return pass_over(score, True, "docs")
-
-
-def harmonic_joined(graph: DataFrame, words: DataFrame, rounds: int = MOST_ROUNDS) -> DataFrame:
-    """The same scores by joins of edges with a table of words, for any size of vocabulary."""
-    mean = graph.where("grade is not null").agg(F.avg("grade")).first()[0]
-    weights = words.select("id", "weight")
-    pairs = graph.select("doc_id", "grade", F.explode(F.arrays_zip("ids", "times")).alias("t")).select("doc_id", "grade", F.col("t.ids").alias("id"), F.sqrt(F.col("t.times").cast("double")).alias("tf"))
-    edges = cut(pairs.join(weights, "id").withColumn("weight", F.col("weight") * F.col("tf")))
-    scores = weights.select("id", F.lit(float(mean)).alias("score"))
-
-    def of_docs(scores: DataFrame) -> DataFrame:
-        sums = edges.join(scores, "id").groupBy("doc_id").agg(F.sum("weight").alias("w"), F.sum(F.col("weight") * F.col("score")).alias("s"))
-        return graph.select("doc_id", "grade").join(sums, "doc_id", "left").select("doc_id", "grade", F.when(F.col("w") > 0, F.col("s") / F.col("w")).otherwise(F.lit(float(mean))).alias("score"))
-
-    for turn in range(rounds):
-        docs = of_docs(scores).withColumn("f", F.coalesce("grade", "score"))
-        if turn == 0:
-            docs = docs.where("grade is not null")
-        heard = edges.select("doc_id", "id", "tf").join(docs.select("doc_id", "f"), "doc_id").groupBy("id").agg(F.sum(F.col("tf") * F.col("f")).alias("total"), F.sum("tf").alias("hits"))
-        extra = 1.0 if turn == 0 else 0.0
-        new = cut(
-            scores.join(heard, "id", "left").select("id", "score", F.coalesce(F.round((F.col("total") + mean * extra) / (F.col("hits") + extra), 12), "score").alias("new"))
-        )
-        moved = new.agg(F.avg(F.abs(F.col("new") - F.col("score")))).first()[0] or 0.0
-        scores = new.select("id", F.col("new").alias("score"))
-        if moved < TOLERANCE and turn > 1:
-            break
-    return of_docs(scores)
+        return shared, graph.select("doc_id", "ids", "times", "grade").mapInArrow(run, schema)
+
+    def step(score: np.ndarray, graded_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        shared, part = pass_over(score, graded_only, "words")
+        sums, hits = _by_place(part, ["total", "hits"])
+        shared.unpersist()
+        prior = 1.0 if graded_only else 0.0
+        return np.where(hits + prior > 0, np.round((sums + prior * mean) / np.maximum(hits + prior, 1e-300), 12), mean), hits
+
+    # the first round hears graded documents only; the later ones are sped up by what the last moves have in common
+    score, _ = step(np.full(WORD_BUCKETS, float(mean)), True)
+    points: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(most_rounds):
+        new, hits = step(score)
+        move = new - score
+        left = float(np.sqrt((hits * move * move).sum() / max(hits.sum(), 1e-300)))
+        if left < TOLERANCE:
+            return pass_over(new, False, "docs")[1]
+        points = [*points[-MEMORY:], (new, move)]
+        score = _mixed(points, hits)
+    raise RuntimeError(f"difficulty still moves by {left:.2e} after {most_rounds} rounds")
+
+
+def _mixed(points: list[tuple[np.ndarray, np.ndarray]], weight: np.ndarray) -> np.ndarray:
+    """The mixture of the last points whose moves cancel best (Anderson's method); the fixed point is the same."""
+    new, move = points[-1]
+    if len(points) < 2:
+        return new
+    root = np.sqrt(weight)
+    moves = np.stack([(move - m) * root for _, m in points[:-1]], axis=1)
+    share, *_ = np.linalg.lstsq(moves, move * root, rcond=1e-8)
+    return np.clip(new - sum(s * (new - n) for s, (n, _) in zip(share, points[:-1], strict=True)), *(min(GRADES.values()), max(GRADES.values())))
 
 
 def best_cuts(scored: DataFrame, bins: int = BINS) -> tuple[float, float] | None:
@@ -249,20 +266,14 @@ def best_cuts(scored: DataFrame, bins: int = BINS) -> tuple[float, float] | None
     return low + middle(first, best[1], best[2]) * step, low + middle(below[1] - below[2], best[2], bins + 1) * step
 
 
-def reading_levels(docs: DataFrame, labels: DataFrame, dense_words: int = DENSE_WORDS) -> DataFrame:
+def reading_levels(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, difficulty, band) of every document written mainly in English."""
     spark = docs.sparkSession
-    graph = cut(english_terms(docs).join(grades(labels), "doc_id", "left"))
+    graph = cut(lookup(english_terms(docs), cut(grades(labels)), ["doc_id"]))
     if not graph.where("grade is not null").limit(1).count():
         return spark.createDataFrame([], "doc_id bigint, difficulty double, band string")
-    words, size = _word_table(graph)
-    numbers = graph.select("doc_id", F.explode(F.arrays_zip("terms", "times")).alias("t")).select("doc_id", F.col("t.terms").alias("word"), F.col("t.times").alias("n")).join(F.broadcast(words.select("word", "id")) if size <= dense_words // 5 else words.select("word", "id"), "word")
-    # a word and its number travel as one long: an array of structs takes four times the room in the shuffle
-    lists = numbers.groupBy("doc_id").agg(F.collect_list(F.shiftleft(F.col("id").cast("bigint"), 31) + F.col("n")).alias("ws"))
-    none = F.array().cast("array<bigint>")
-    listed = graph.select("doc_id", "grade").join(lists, "doc_id", "left").select("doc_id", "grade", F.coalesce("ws", none).alias("ws"))
-    numbered = cut(listed.select("doc_id", "grade", F.transform("ws", lambda w: F.shiftright(w, 31).cast("int")).alias("ids"), F.transform("ws", lambda w: w.bitwiseAND((1 << 31) - 1).cast("int")).alias("times")))
-    scored = cut(harmonic_dense(numbered, words, size) if size <= dense_words else harmonic_joined(numbered, words))
+    scored = cut(harmonic(graph))
+    drop(graph)
     low, high = best_cuts(scored)
     band = F.when(F.col("score") < low, "basic").when(F.col("score") < high, "intermediate").otherwise("advanced")
     return scored.select("doc_id", F.round("score", 6).alias("difficulty"), band.alias("band"))
