@@ -412,7 +412,8 @@ def attributions(spellings: DataFrame, formal: frozenset[str] = frozenset(SHORT_
             yield pd.DataFrame(out, columns=["node", "key"])
 
     # two long names meet under many keys: the pair is kept once
-    keyed = cut(spread(spellings, "node").mapInPandas(keys, "node string, key string").distinct())
+    # keys travel as hashes: two that fall together only bring a pair that the score then refuses
+    keyed = cut(spread(spellings.select("node", "kind", "name", "rest"), "node").mapInPandas(keys, "node bigint, key string").select("node", F.xxhash64("key").alias("key")).distinct())
     left, right = salted(keyed, keyed.select(F.col("node").alias("other"), "key"), ["key"])
     met = left.join(right, ["key", "_salt"]).where("node <> other").select("node", "other").distinct()
     side = lambda s: spellings.select(F.col("node").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("name", "rest", "n")])
@@ -427,7 +428,7 @@ def attributions(spellings: DataFrame, formal: frozenset[str] = frozenset(SHORT_
             out["score"] = [s for s, k in zip(found, keep, strict=True) if k]
             yield out
 
-    scored = pairs.mapInPandas(score, "node string, other string, other_n bigint, score double")
+    scored = pairs.mapInPandas(score, "node bigint, other bigint, other_n bigint, score double")
     best = scored.groupBy("node").agg(F.min_by("other", F.struct((-F.col("score")).alias("s"), (-F.col("other_n")).alias("n"), "other")).alias("canonical"))
     return best
 
@@ -439,12 +440,22 @@ def linked(spark: SparkSession, base: str) -> DataFrame:
     learned = learned_given_names(people)
     forms = learned_short_forms(people, learned)
     parsed = nodes(spread(rows.select("label", "kind").distinct(), "label"), learned, forms)
-    # a spelling's name is its text, so that no two are ever taken for one
-    placed = cut(rows.withColumnRenamed("kind", "given_kind").join(parsed, ["label", "given_kind"]).withColumn("node", F.concat_ws("|", "kind", "name", "rest")))
-    spellings = cut(placed.groupBy("kind", "name", "rest", "node").agg(F.count(F.lit(1)).alias("n")))
+    placed = cut(rows.withColumnRenamed("kind", "given_kind").join(parsed, ["label", "given_kind"]).select("record_id", F.concat_ws("|", "kind", "name", "rest").alias("spelling"), "kind", "name", "rest"))
+    counted = cut(placed.groupBy("spelling", "kind", "name", "rest").agg(F.count(F.lit(1)).alias("n")))
+    seed = distinct_seed(counted, "spelling")
+    number = F.xxhash64(F.lit(seed), "spelling")
+    spellings = cut(counted.select(number.alias("node"), "kind", "name", "rest", "n"))
     links = cut(attributions(spellings, frozenset(Lexicon(learned, forms).formal)))
-    groups = components(links.select(F.col("node").alias("a"), F.col("canonical").alias("b")))
-    return placed.select("record_id", "node").join(groups, "node", "left").select("record_id", F.coalesce("component", "node").alias("group"))
+    groups = components(links.select(F.col("node").cast("string").alias("a"), F.col("canonical").cast("string").alias("b")))
+    return placed.select("record_id", number.cast("string").alias("node")).join(groups, "node", "left").select("record_id", F.coalesce("component", "node").alias("group"))
+
+
+def distinct_seed(rows: DataFrame, column: str) -> int:
+    """A seed under which no two values of a column without repeats have the same 64-bit hash."""
+    n, seed = rows.count(), 0
+    while rows.select(F.xxhash64(F.lit(seed), column).alias("h")).distinct().count() < n:
+        seed += 1
+    return seed
 
 
 def p2_found(spark: SparkSession, base: str) -> DataFrame:

@@ -168,16 +168,21 @@ def document_frequencies(graph: DataFrame) -> np.ndarray:
 def harmonic(graph: DataFrame, most_rounds: int = MOST_ROUNDS) -> DataFrame:
     """(doc_id, grade, score) of documents (doc_id, ids, times, grade): the score its words give a document when difficulty is harmonic."""
     sc = graph.sparkSession.sparkContext
+    # a task sends at most one row a place, so a few tasks a core keep what a round moves small
+    graph = graph.coalesce(sc.defaultParallelism)
     df, total = document_frequencies(graph), graph.count()
     # words of one document only, and of all, tell nothing
     weight = np.where(df > 1, np.log(total / np.maximum(df, 1)), 0.0)
     mean = graph.where("grade is not null").agg(F.avg("grade")).first()[0]
 
     def pass_over(score: np.ndarray, graded_only: bool, out: str):
-        shared = sc.broadcast((score, weight))
+        some = np.flatnonzero(weight).astype(np.int32)
+        shared = sc.broadcast((some, score[some], weight[some]))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            score, weight = shared.value
+            score, weight = np.zeros(WORD_BUCKETS), np.zeros(WORD_BUCKETS)
+            places, *values = shared.value
+            score[places], weight[places] = values
             sums, hits = (np.zeros(len(weight)), np.zeros(len(weight))) if out == "words" else (None, None)
             for batch in batches:
                 ids, lengths = _flat(batch.column(1)), np.diff(batch.column(1).offsets.to_numpy())
@@ -206,7 +211,7 @@ def harmonic(graph: DataFrame, most_rounds: int = MOST_ROUNDS) -> DataFrame:
     def step(score: np.ndarray, graded_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
         shared, part = pass_over(score, graded_only, "words")
         sums, hits = _by_place(part, ["total", "hits"])
-        shared.unpersist()
+        shared.destroy()
         prior = 1.0 if graded_only else 0.0
         return np.where(hits + prior > 0, np.round((sums + prior * mean) / np.maximum(hits + prior, 1e-300), 12), mean), hits
 
