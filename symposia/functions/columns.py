@@ -30,14 +30,27 @@ def clean_text(c: Column) -> Column:
     return strip(F.regexp_replace(F.replace(c, F.lit("**"), F.lit("")), r"(?U)\s+", " "))
 
 
+#: Full-width forms and the letters, digits and blanks they stand for, as compatibility normalisation folds them.
+WIDE, PLAIN = "".join(chr(0xFF01 + k) for k in range(94)) + "\u3000\u00a0²³¹", "".join(chr(0x21 + k) for k in range(94)) + "  231"
+LIGATURES = (("ﬁ", "fi"), ("ﬂ", "fl"), ("…", "..."), ("™", "TM"), ("½", "1⁄2"))
+
+
+def compatible(c: Column) -> Column:
+    """Full-width forms, ligatures and superscripts as plain characters."""
+    c = F.translate(c, WIDE, PLAIN)
+    for a, b in LIGATURES:
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c
+
+
 def match_key(c: Column) -> Column:
     """Lower-case letters and digits with single blanks: the key on which labels are the same."""
-    return F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(F.lower(compatible(c)), "[^a-z0-9]+", " "))
 
 
 def label_key(c: Column) -> Column:
     """Lower case, punctuation to blanks but for ``: / . -``, dashes alike: the key of the canonical linker."""
-    dashes = F.regexp_replace(F.lower(strip(c)), "[–—−]", "-")
+    dashes = F.regexp_replace(F.lower(strip(compatible(c))), "[–—−]", "-")
     return F.trim(F.regexp_replace(F.regexp_replace(dashes, r"(?U)[^\w\s:/.-]+", " "), r"(?U)\s+", " "))
 
 
@@ -100,7 +113,7 @@ def md5_hash(c: Column, n: int = 16) -> Column:
 def canonical_uri(key: Column, kind: Column, ontology: Column, base: str = V.KG) -> Column:
     """``<base><type>_<slug>_<10 of sha1>`` of key, type and ontology class."""
     name = F.regexp_replace(F.regexp_replace(F.lower(key), "[^a-z0-9]+", "_"), "^_+|_+$", "")
-    return F.concat(F.lit(base), F.lower(kind), F.lit("_"), F.substring(name, 1, 40), F.lit("_"), F.substring(F.sha1(F.concat_ws("|", key, kind, F.coalesce(ontology, F.lit("")))), 1, 10))
+    return F.concat(F.lit(base), F.lower(kind), F.lit("_"), name, F.lit("_"), F.substring(F.sha1(F.concat_ws("|", key, kind, F.coalesce(ontology, F.lit("")))), 1, 10))
 
 
 def relation_uri(discourse: Column, s: Column, p: Column, o: Column) -> Column:
@@ -114,14 +127,71 @@ def expand_curie(c: Column, prefixes: dict[str, str]) -> Column:
     return F.when(c.contains(":") & space.isNotNull(), F.concat(space, F.expr("''"), F.regexp_replace(c, "^[^:]*:", ""))).otherwise(c)
 
 
+def normalize_url(c: Column) -> Column:
+    """Scheme and host in lower case, no fragment, no ``utm_`` parameters, no slash at the end; other texts trimmed."""
+    text = F.regexp_replace(strip(c), "#.*$", "")
+    host = F.regexp_extract(text, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?]*)", 1)
+    rest = F.substr(text, F.length(host) + 1)
+    path = F.regexp_replace(F.regexp_replace(rest, r"\?.*$", ""), "/+$", "")
+    query = F.array_join(F.filter(F.split(F.regexp_extract(rest, r"\?(.*)$", 1), "&"), lambda q: (q != "") & ~F.lower(q).startswith("utm_")), "&")
+    return F.when(host != "", F.concat(F.lower(host), path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))).otherwise(text)
+
+
 def external_id(c: Column) -> Column:
-    """Knowledge-base numbers and DOIs in one form, other identifiers in lower case without a trailing slash."""
-    q = F.regexp_extract(c, r"(?i)(?:^|/|:)(q\d+)$", 1)
-    doi = F.regexp_extract(F.lower(c), r"(?:^doi:|doi\.org/)(10\..+)$", 1)
-    plain = F.regexp_replace(F.regexp_replace(F.lower(strip(c)), r"[?#].*$", ""), "/+$", "")
+    """Knowledge-base numbers and DOIs in one form, web addresses normalised, other identifiers in lower case."""
+    text = strip(c)
+    q = F.regexp_extract(text, r"(?i)(?:^|/|:)(q\d+)$", 1)
+    doi = F.regexp_extract(F.lower(text), r"(?:^doi:\s*|doi\.org/|^)(10\..+)$", 1)
+    plain = F.when(text.rlike("(?i)^https?://"), normalize_url(text)).otherwise(F.lower(text))
     return F.when(q != "", F.concat(F.lit("wikidata:"), F.upper(q))).when(doi != "", F.concat(F.lit("doi:"), doi)).when(plain != "", plain)
 
 
+def minted_uri(kind: Column, key: Column, base: str = V.KG) -> Column:
+    """``<base without #>/entity/<type>/<key>-<8 of sha1>`` of type and key."""
+    return F.concat(F.lit(base.rstrip("#") + "/entity/"), slug(kind), F.lit("/"), slug(key), F.lit("-"), F.substring(F.sha1(F.concat_ws("|", kind, key)), 1, 8))
+
+
+def sanitized(c: Column) -> Column:
+    """Everything but letters, digits and underscores to underscores, case kept; ``Resource`` for nothing."""
+    out = F.regexp_replace(F.regexp_replace(strip(c), r"[^A-Za-z0-9_]+", "_"), "^_+|_+$", "")
+    return F.when(F.coalesce(out, F.lit("")) == "", F.lit("Resource")).otherwise(out)
+
+
+def camel_case(c: Column) -> Column:
+    """Words joined, the first in lower case, the others with a capital."""
+    joined = F.replace(F.initcap(F.regexp_replace(F.lower(strip(c)), "[^a-z0-9]+", " ")), F.lit(" "), F.lit(""))
+    return F.concat(F.lower(F.substring(joined, 1, 1)), F.substr(joined, F.lit(2)))
+
+
+def uri_safe(c: Column) -> Column:
+    """The local part of a uri: blanks to underscores, what may not stand in one percent-encoded (``url_encode`` writes a blank as ``+``)."""
+    return F.replace(F.replace(F.replace(F.replace(F.url_encode(F.regexp_replace(strip(c), r"\s+", "_")), F.lit("%3A"), F.lit(":")), F.lit("%40"), F.lit("@")), F.lit("%2F"), F.lit("/")), F.lit("%7E"), F.lit("~"))
+
+
+def is_iri(c: Column) -> Column:
+    return F.coalesce(c.rlike(r"^(https?://|urn:)[^\s<>\"{}|\\^`]+$"), F.lit(False))
+
+
+def is_iso_date(c: Column) -> Column:
+    return F.coalesce(strip(c).rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"), F.lit(False))
+
+
+def single_value(c: Column) -> Column:
+    """Of a list written as ``a; b, c`` the least part in lower case."""
+    return F.array_min(F.filter(F.transform(F.split(F.lower(c), "[;,]"), lambda x: F.trim(x)), lambda x: x != ""))
+
+
+def rdf_node(c: Column) -> Column:
+    """``<iri>`` for an absolute identifier, else a quoted literal."""
+    return F.when(is_iri(c), F.concat(F.lit("<"), c, F.lit(">"))).otherwise(F.concat(F.lit('"'), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"')))
+
+
+def rating_concept(c: Column) -> Column:
+    """The concept of a rating word or of a number from 1 to 5."""
+    key = F.regexp_replace(F.lower(strip(c.cast("string"))), "[^a-z0-9]", "")
+    return mapped(key, V.RATINGS)
+
+
 def coerce_int(c: Column) -> Column:
     """The first whole number in a text; null where there is none."""
     return F.nullif(F.regexp_extract(c.cast("string"), r"-?\d+", 0), F.lit("")).try_cast("bigint")

@@ -6,11 +6,11 @@ from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from symposia.functions import columns as C
-from symposia.runtime import cut, read
+from symposia.runtime import cut, drop, read
 
 #: Betweenness and greedy communities hold the whole graph in one worker; more edges than this are refused.
 WHOLE_GRAPH_EDGES = 200_000
@@ -64,30 +64,73 @@ def clustering_coefficients(spark: SparkSession, base: str) -> DataFrame:
     return clustering(edges(spark, base))
 
 
-def pagerank(edge_rows: DataFrame, rounds: int = 20, damping: float = 0.85) -> DataFrame:
-    """(node, rank): the mass of nodes without outgoing edges is spread evenly. Edges are laid out once by source."""
+def average_clustering(spark: SparkSession, base: str) -> DataFrame:
+    """One row: the mean coefficient over all nodes, those without neighbours counting as 0, and the number of triangles."""
+    e = edges(spark, base)
+    sums = clustering(e).agg(F.sum(F.round(F.col("coefficient") * 1_000_000).cast("bigint")).alias("c"), F.sum("triangles").alias("t"))
+    both = sums.join(nodes(e).agg(F.count(F.lit(1)).alias("n")), how="inner", on=F.lit(True))
+    return both.select(F.round(F.coalesce("c", F.lit(0)) / 1_000_000 / F.greatest("n", F.lit(1)), 6).alias("clustering"), (F.coalesce("t", F.lit(0)) / 3).cast("bigint").alias("triangles"))
+
+
+def first_nodes(spark: SparkSession, base: str, most: int = 20) -> DataFrame:
+    """(node, seq, centrality): degree centrality of the first ``most`` nodes in order of appearance (relations by uri, source before target)."""
+    rows = read(spark, base, "relations").select("uri", C.blank_to_null(F.col("source")).alias("src"), C.blank_to_null(F.col("target")).alias("tgt")).where("uri is not null and src is not null and tgt is not null")
+    seen = rows.select("uri", F.posexplode(F.array("src", "tgt")).alias("end", "node")).groupBy("node").agg(F.min(F.struct("uri", "end")).alias("at"))
+    first = seen.orderBy("at", "node").limit(most)
+    ranked = first.select("node", F.row_number().over(Window.orderBy("at", "node")).alias("seq"))
+    return ranked.join(degree_centrality(spark, base), "node").select("node", "seq", F.round("centrality", 4).alias("centrality"))
+
+
+def analytics_summary(spark: SparkSession, base: str) -> DataFrame:
+    """(metric, value) of the whole graph; a metric that fails is reported as null, the others stand."""
+    metrics = {
+        "nodes": lambda: graph_size(spark, base).select(F.col("nodes").cast("double")),
+        "edges": lambda: graph_size(spark, base).select(F.col("edges").cast("double")),
+        "density": lambda: graph_size(spark, base).select("density"),
+        "clustering": lambda: average_clustering(spark, base).select("clustering"),
+        "components": lambda: graph_components(spark, base).select(F.countDistinct("component").cast("double")),
+        "greatest_degree": lambda: degree_centrality(spark, base).select(F.max(F.col("in_degree") + F.col("out_degree")).cast("double")),
+    }
+    out = None
+    for name, compute in metrics.items():
+        try:
+            row = compute().toDF("value").select(F.lit(name).alias("metric"), "value")
+        except Exception:  # noqa: BLE001
+            row = spark.createDataFrame([(name, None)], "metric string, value double")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def pagerank(edge_rows: DataFrame, damping: float = 0.85, tolerance: float = 1e-6) -> DataFrame:
+    """(node, rank): the mass of nodes without outgoing edges is spread evenly. Rounds end when the ranks' moves sum to less
+    than ``tolerance`` a node; each takes at most ``damping`` of the moves before it, so they do end."""
     out_degree = edge_rows.groupBy("src").agg(F.count(F.lit(1)).alias("k"))
     links = cut(edge_rows.join(out_degree, "src"))
-    ranks = cut(nodes(edge_rows).join(out_degree.withColumnRenamed("src", "node"), "node", "left").withColumn("rank", F.lit(None).cast("double")))
-    n = ranks.count()
-    ranks = ranks.withColumn("rank", F.lit(1.0 / max(1, n)))
-    for turn in range(rounds):
-        lost = ranks.where("k is null").agg(F.sum("rank")).first()[0] or 0.0
+    every = cut(nodes(edge_rows).join(out_degree.withColumnRenamed("src", "node"), "node", "left"))
+    n = every.count()
+    ranks = every.withColumn("rank", F.lit(1.0 / max(1, n)))
+    lost = every.where("k is null").count() / max(1, n)
+    while n:
         sent = links.join(ranks.select(F.col("node").alias("src"), "rank"), "src").groupBy(F.col("tgt").alias("node")).agg(F.sum(F.col("rank") / F.col("k")).alias("got"))
-        base_rank = (1 - damping) / n + damping * lost / n
-        ranks = ranks.drop("rank").join(sent, "node", "left").select("node", "k", (F.lit(base_rank) + damping * F.coalesce("got", F.lit(0.0))).alias("rank"))
-        ranks = cut(ranks)
+        moved = cut(ranks.join(sent, "node", "left").select("node", "k", F.col("rank").alias("before"), (F.lit((1 - damping) / n + damping * lost / n) + damping * F.coalesce("got", F.lit(0.0))).alias("rank")))
+        drop(ranks)
+        sums = moved.agg(F.sum(F.abs(F.col("rank") - F.col("before"))).alias("d"), F.sum(F.when(F.col("k").isNull(), F.col("rank")).otherwise(0.0)).alias("lost")).first()
+        path = moved._symposia_path
+        ranks, lost = moved.select("node", "k", "rank"), sums["lost"]
+        ranks._symposia_path = path
+        if sums["d"] < n * tolerance:
+            break
     return ranks.select("node", "rank")
 
 
 def page_ranks(spark: SparkSession, base: str) -> DataFrame:
-    return pagerank(edges(spark, base), rounds=10).select("node", F.round("rank", 9).alias("rank"))
+    return pagerank(edges(spark, base)).select("node", F.round("rank", 9).alias("rank"))
 
 
-def connected_components(pairs: DataFrame, rounds: int = 50) -> DataFrame:
-    """(node, component) of (a, b): least node reached, by alternating large-star and small-star steps.
+def connected_components(pairs: DataFrame) -> DataFrame:
+    """(node, component) of (a, b): least node reached, by alternating large-star and small-star steps until nothing moves.
 
-    Each step is one group-by on the node; a hub's neighbours are read by a window that spills, never collected."""
+    Each step is a partial aggregate by node and a join that spreads hubs."""
     both = cut(pairs.where("a is not null and b is not null").select("a", "b").distinct())
     every = both.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     star = both.where("a <> b")
@@ -106,8 +149,9 @@ def connected_components(pairs: DataFrame, rounds: int = 50) -> DataFrame:
         return new.where("a <> b").distinct()
 
     before = None
-    for _ in range(rounds):
-        star = cut(step(step(star, True), False))
+    while True:
+        last, star = star, cut(step(step(star, True), False))
+        drop(last)
         sign = star.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if sign == before:
             break
@@ -121,7 +165,8 @@ def graph_components(spark: SparkSession, base: str) -> DataFrame:
 
 
 def label_propagation(edge_rows: DataFrame, rounds: int = 8) -> DataFrame:
-    """(node, community): every node takes the commonest label around it, the smallest among equals."""
+    """(node, community): ``rounds`` times every node takes the commonest label around it, the smallest among equals. The
+    number of rounds is part of the definition: labels of even rings swap for ever."""
     und = undirected(edge_rows)
     both = cut(und.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(und.select(F.col("b").alias("node"), F.col("a").alias("other"))))
     labels = cut(both.select("node").distinct().withColumn("label", F.col("node")))
@@ -232,6 +277,9 @@ QUERIES = {
     "graph_size": graph_size,
     "degree_centrality": degree_centrality,
     "clustering_coefficients": clustering_coefficients,
+    "average_clustering": average_clustering,
+    "first_nodes": first_nodes,
+    "analytics_summary": analytics_summary,
     "page_ranks": page_ranks,
     "graph_components": graph_components,
     "communities": communities,
@@ -239,16 +287,34 @@ QUERIES = {
     "greedy_communities": lambda spark, base: greedy_modularity(edges(spark, base)),
 }
 EDGES = "e as (select distinct trim(source, ' \t\n\r') src, trim(target, ' \t\n\r') tgt from relations where trim(source, ' \t\n\r') <> '' and trim(target, ' \t\n\r') <> ''), n as (select src node from e union select tgt from e)"
+_ROUNDS = 60
 _PR = ", ".join(
     f"r{k} as materialized (select n.node, 0.15 / t.c + 0.85 * (select coalesce(sum(rank), 0) from r{k - 1} x where not exists (select 1 from e where e.src = x.node)) / t.c + 0.85 * coalesce(g.got, 0) rank from n cross join t left join (select e.tgt node, sum(r.rank / d.k) got from e join r{k - 1} r on r.node = e.src join d on d.src = e.src group by 1) g on g.node = n.node)"
-    for k in range(1, 11)
+    for k in range(1, _ROUNDS + 1)
+)
+_MOVES = " union all ".join(f"select {k} k, sum(abs(a.rank - b.rank)) d from r{k} a join r{k - 1} b using (node)" for k in range(1, _ROUNDS + 1))
+_RANKS = " union all ".join(f"select {k} k, node, rank from r{k}" for k in range(1, _ROUNDS + 1))
+_LP = ", ".join(
+    f"h{k} as materialized (select node, min(label) label from (select node, label, n, max(n) over (partition by node) m from (select s.x node, l.label, count(*) n from s join h{k - 1} l on l.node = s.y group by 1, 2)) where n = m group by 1)"
+    for k in range(1, 9)
 )
+_CC = """u as (select distinct least(src, tgt) a, greatest(src, tgt) b from e where src <> tgt), s as (select a x, b y from u union all select b, a from u),
+d as (select x node, count(*) degree from s group by 1), t as (select p.x node, count(*) // 2 triangles from s p join s q on p.x = q.x and p.y <> q.y join s r on r.x = p.y and r.y = q.y group by 1),
+cc as (select d.node, degree, coalesce(triangles, 0) triangles, case when degree > 1 then round(2 * coalesce(triangles, 0) / (degree * (degree - 1)), 6) else 0.0 end coefficient from d left join t using (node)),
+ac as (select round(coalesce(sum(cast(round(coefficient * 1000000) as bigint)), 0) / 1000000 / greatest((select count(*) from n), 1), 6) clustering, cast(coalesce(sum(triangles), 0) // 3 as bigint) triangles from cc)"""
+_DEGREE = "o as (select src node, count(*) k from e group by 1), i as (select tgt node, count(*) k from e group by 1), dc as (select n.node, coalesce(o.k, 0) as out_degree, coalesce(i.k, 0) as in_degree, round((coalesce(o.k, 0) + coalesce(i.k, 0)) / ((select count(*) from n) - 1), 6) as centrality from n left join o using (node) left join i using (node))"
 ORACLE = {
     "graph_size": f"with {EDGES} select nodes, edges, round(edges / (nodes * (nodes - 1)), 9) as density from (select count(*) edges from e), (select count(*) nodes from n)",
     "degree_centrality": f"with {EDGES}, o as (select src node, count(*) k from e group by 1), i as (select tgt node, count(*) k from e group by 1) select n.node, coalesce(o.k, 0) as out_degree, coalesce(i.k, 0) as in_degree, round((coalesce(o.k, 0) + coalesce(i.k, 0)) / ((select count(*) from n) - 1), 6) as centrality from n left join o using (node) left join i using (node)",
-    "clustering_coefficients": f"""with {EDGES}, u as (select distinct least(src, tgt) a, greatest(src, tgt) b from e where src <> tgt), s as (select a x, b y from u union all select b, a from u),
-d as (select x node, count(*) degree from s group by 1), t as (select p.x node, count(*) // 2 triangles from s p join s q on p.x = q.x and p.y <> q.y join s r on r.x = p.y and r.y = q.y group by 1)
-select d.node, degree, coalesce(triangles, 0) as triangles, case when degree > 1 then round(2 * coalesce(triangles, 0) / (degree * (degree - 1)), 6) else 0.0 end as coefficient from d left join t using (node)""",
-    "page_ranks": f"with {EDGES}, t as (select count(*) c from n), d as (select src, count(*) k from e group by 1), r0 as materialized (select node, 1.0 / c rank from n, t), {_PR} select node, round(rank, 9) as rank from r10",
+    "clustering_coefficients": f"with {EDGES}, {_CC} select node, degree, triangles, coefficient from cc",
+    "average_clustering": f"with {EDGES}, {_CC} select clustering, triangles from ac",
+    "first_nodes": f"""with {EDGES}, {_DEGREE}, a as (select uri, trim(source, ' \t\n\r') src, trim(target, ' \t\n\r') tgt from relations where uri is not null and trim(source, ' \t\n\r') <> '' and trim(target, ' \t\n\r') <> ''),
+b as (select node, min(struct_pack(u := uri, p := p)) pl from (select uri, 0 p, src node from a union all select uri, 1, tgt from a) group by 1), f as (select node, row_number() over (order by pl, node) seq from b)
+select node, cast(seq as integer) as seq, round(centrality, 4) as centrality from f join dc using (node) where seq <= 20""",
+    "analytics_summary": f"""with recursive {EDGES}, {_CC}, {_DEGREE}, g as (select src a, tgt b from e union select tgt, src from e union select node, node from n), w(node, seen) as (select a, b from g union select g.a, w.seen from w join g on g.b = w.node), cp as (select node, min(seen) c from w group by 1)
+select 'nodes' as metric, cast(count(*) as double) as value from n union all select 'edges', count(*) from e union all select 'density', round((select count(*) from e) / ((select count(*) from n) * ((select count(*) from n) - 1)), 9)
+union all select 'clustering', clustering from ac union all select 'components', count(distinct c) from cp union all select 'greatest_degree', max(in_degree + out_degree) from dc""",
+    "communities": f"with {EDGES}, u as (select distinct least(src, tgt) a, greatest(src, tgt) b from e where src <> tgt), s as materialized (select a x, b y from u union all select b, a from u), h0 as (select distinct x node, x label from s), {_LP} select node, label as community from h8",
+    "page_ranks": f"with {EDGES}, t as (select count(*) c from n), d as (select src, count(*) k from e group by 1), r0 as materialized (select node, 1.0 / c rank from n, t), {_PR}, mv as ({_MOVES}), rk as ({_RANKS}) select node, round(rank, 9) as rank from rk where k = (select min(k) from mv, t where d < c * 1e-6)",
     "graph_components": f"with recursive {EDGES}, s as (select src a, tgt b from e union select tgt, src from e union select node, node from n), w(node, seen) as (select a, b from s union select s.a, w.seen from w join s on s.b = w.node) select node, min(seen) as component from w group by 1",
 }

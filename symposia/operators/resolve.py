@@ -13,7 +13,7 @@ from symposia.functions import columns as C
 from symposia.operators.graph import connected_components
 from symposia.operators.predicates import ETYPE
 from symposia.rules import vocabulary as V
-from symposia.runtime import cut, lookup, read
+from symposia.runtime import cut, drop, lookup, read, salted
 
 FUZZY = 0.92
 
@@ -38,9 +38,9 @@ def coarse_type(kind: Column, ontology: Column) -> Column:
     return F.when(inside, F.substring_index(ontology, ":", -1)).otherwise(kind)
 
 
-def exact_groups(spark: SparkSession, base: str) -> DataFrame:
+def exact_groups(spark: SparkSession, base: str, entities: DataFrame | None = None) -> DataFrame:
     """(uri, canonical, size): entities of one type whose labels have the same key; the most confident one stands for them."""
-    rows = registry(spark, base).withColumn("key", C.match_key(F.col("label"))).where("key <> ''")
+    rows = (registry(spark, base) if entities is None else entities).withColumn("key", C.match_key(F.col("label"))).where("key <> ''")
     best = rows.groupBy("entity_type", "key").agg(F.min_by("uri", F.struct((-F.col("confidence")).alias("c"), "uri")).alias("canonical"), F.count(F.lit(1)).alias("size")).where("size > 1")
     return lookup(rows.select("uri", "entity_type", "key"), best, ["entity_type", "key"], "inner").select("uri", "canonical", "size")
 
@@ -51,39 +51,33 @@ def mergeable(kind: Column, label: Column) -> Column:
     return ~kind.isin(*V.STRUCTURAL_TYPES) & ~low.isin(*V.DO_NOT_MERGE) & ~low.rlike(r"^(theme|question|answer|vote|expert|document|discourse unit) \d+$") & (F.length(low) >= 3)
 
 
-def block_tokens(label: Column) -> Column:
-    """The first two words of a label in sorted order: candidates share at least one of them."""
-    return F.slice(F.array_sort(C.label_tokens(label)), 1, 2)
+def candidate_pairs(rows: DataFrame, least: float = 2 * FUZZY - 1) -> DataFrame:
+    """(a, b) of uris of one type, each pair once, among which are all whose labels' words have a Jaccard index of ``least``.
 
+    Words are ordered by rarity within the type. Two sets of n and m words with that index share at least
+    ceil(least * max(n, m)) words, so one of the n - ceil(least * n) + 1 rarest words of the one is among the like of the
+    other: these prefixes are what labels are joined on, whatever the size of a block. Hot words are spread."""
+    words = cut(rows.select("uri", "entity_type", F.explode(C.label_tokens(F.col("label"))).alias("word")))
+    rarity = words.groupBy("entity_type", "word").agg(F.count(F.lit(1)).alias("n"))
+    ranked = lookup(words, cut(rarity), ["entity_type", "word"], "inner").groupBy("uri", "entity_type").agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("ws"))
+    size = F.size("ws")
+    keyed = cut(ranked.select("uri", "entity_type", size.alias("size"), F.explode(F.slice("ws", F.lit(1), (size - F.ceil(size * least - 1e-9) + 1).cast("int"))).alias("w")).select("uri", "entity_type", "size", F.col("w.word").alias("word")))
+    left, right = salted(keyed.withColumnRenamed("uri", "a"), keyed.select(F.col("uri").alias("b"), "entity_type", "word", F.col("size").alias("other")), ["entity_type", "word"])
+    met = left.join(right, ["entity_type", "word", "_salt"]).where((F.col("a") < F.col("b")) & (F.least("size", "other") >= F.greatest("size", "other") * least - 1e-9))
+    return met.select("a", "b").distinct()
 
-def candidate_pairs(rows: DataFrame, most: int = 2000) -> DataFrame:
-    """(a, b) of uris of one type that share a block word, each pair once.
 
-    A block is joined with itself only while it has at most ``most`` labels; a larger one (a general first word) is
-    blocked again by pairs of its labels' words, which any two labels that can reach the threshold have in common:
-    their Jaccard index must be at least 0.84 for the mean with a ratio of at most 1 to reach 0.92."""
-    toks = C.label_tokens(F.col("label"))
-    blocked = cut(rows.select("uri", "entity_type", "label", F.array_sort(toks).alias("toks"), F.explode(block_tokens(F.col("label"))).alias("block")))
-    sizes = blocked.groupBy("entity_type", "block").agg(F.count(F.lit(1)).alias("n"))
-    sized = lookup(blocked, sizes, ["entity_type", "block"])
-    fine = F.when(F.col("n") <= most, F.array(F.col("block"))).otherwise(
-        F.when(F.size("toks") == 1, F.array(F.col("block"))).otherwise(F.transform(F.sequence(F.lit(1), F.least(F.size("toks") - 1, F.lit(3))), lambda i: F.concat_ws(" ", F.col("block"), F.element_at("toks", i), F.element_at("toks", i + 1))))
-    )
-    keyed = sized.select("uri", "entity_type", F.explode(fine).alias("key"))
-    a, b = keyed.alias("a"), keyed.alias("b")
-    met = a.join(b, (F.col("a.entity_type") == F.col("b.entity_type")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.uri") < F.col("b.uri")))
-    return met.select(F.col("a.uri").alias("a"), F.col("b.uri").alias("b")).distinct()
-
-
-def fuzzy_pairs(spark: SparkSession, base: str, threshold: float = FUZZY) -> DataFrame:
+def fuzzy_pairs(spark: SparkSession, base: str, threshold: float = FUZZY, entities: DataFrame | None = None) -> DataFrame:
     """(a, b, score): mean of word Jaccard and sequence ratio at least ``threshold``, over distinct labels of a type."""
-    rows = cut(registry(spark, base).where(mergeable(F.col("entity_type"), F.col("label"))))
+    rows = cut((registry(spark, base) if entities is None else entities).where(mergeable(F.col("entity_type"), F.col("label"))))
     # equal keys are exact matches already: one uri stands for a key here
     firsts = cut(rows.withColumn("key", C.match_label(F.col("label"))).groupBy("entity_type", "key").agg(F.min("uri").alias("uri")).select("uri", "entity_type", F.col("key").alias("label")))
     side = lambda s: firsts.select(F.col("uri").alias(s), F.col("label").alias(f"l{s}"))
-    pairs = candidate_pairs(firsts).join(side("a"), "a").join(side("b"), "b")
+    pairs = candidate_pairs(firsts, 2 * threshold - 1).join(side("a"), "a").join(side("b"), "b")
     j = C.jaccard(C.label_tokens(F.col("la")), C.label_tokens(F.col("lb")))
-    able = pairs.withColumn("jaccard", j).where(F.col("jaccard") >= 2 * threshold - 1)
+    # the ratio is at most twice the shorter length by both lengths: what cannot reach the threshold needs no Python
+    most = 2 * F.least(F.length("la"), F.length("lb")) / (F.length("la") + F.length("lb"))
+    able = pairs.withColumn("jaccard", j).where((F.col("jaccard") + most) / 2 >= threshold - 1e-9)
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -118,32 +112,53 @@ def same_identity(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return to_first(ids, ["id"]).unionByName(to_first(keyed.join(ids, "uri", "left_anti"), ["coarse", "key"])).unionByName(stand)
 
 
-def canonical_entities(spark: SparkSession, base: str) -> DataFrame:
+def canonical_entities(spark: SparkSession, base: str, threshold: float = FUZZY) -> DataFrame:
     """(uri, canonical, rule): every entity with the one that stands for it, by exact key, external
     identifier, match label and fuzzy match, to the end."""
     rows = cut(registry(spark, base))
-    exact = exact_groups(spark, base).select(F.col("uri").alias("a"), F.col("canonical").alias("b"))
-    fuzzy = fuzzy_pairs(spark, base).select("a", "b")
+    exact = exact_groups(spark, base, rows).select(F.col("uri").alias("a"), F.col("canonical").alias("b"))
+    fuzzy = fuzzy_pairs(spark, base, threshold, rows).select("a", "b")
     groups = connected_components(exact.unionByName(same_identity(rows, cut(external_ids(spark, base)))).unionByName(fuzzy)).withColumnRenamed("node", "uri")
-    placed = rows.join(groups, "uri")
+    placed = cut(rows.join(groups, "uri"))
     best = placed.groupBy("component").agg(F.max_by("uri", F.struct("confidence", F.length("label"), "label", "uri")).alias("canonical"))
     out = lookup(placed.select("uri", "component"), best, ["component"], "inner").select("uri", "canonical")
     return rows.select("uri").join(out, "uri", "left").select("uri", F.coalesce("canonical", "uri").alias("canonical"), F.when(F.col("canonical").isNull(), "self").when(F.col("canonical") == F.col("uri"), "canonical").otherwise("merged").alias("rule"))
 
 
-def redirect_closure(redirects: DataFrame, rounds: int = 40) -> DataFrame:
-    """(old, new): every redirect followed to its end by pointer jumping; a cycle ends at its least member."""
+def redirect_closure(redirects: DataFrame) -> DataFrame:
+    """(old, new): every redirect followed to its end by pointer jumping; a cycle ends at its least member.
+
+    Jumps double in length, so a chain of n redirects takes log2(n) rounds; rounds end when nothing moves."""
     table = cut(redirects.where("old is not null and new is not null and old <> new").groupBy("old").agg(F.min("new").alias("new")))
-    before = None
-    for _ in range(rounds):
+    n, turn = table.count(), 0
+    while True:
         nxt = table.select(F.col("old").alias("new"), F.col("new").alias("further"))
-        jumped = table.join(nxt, "new", "left").select("old", F.when(F.col("further") == F.col("old"), F.least("old", "new")).otherwise(F.coalesce("further", "new")).alias("new"))
-        table = cut(jumped)
-        sign = table.agg(F.sum(F.xxhash64("old", "new").cast("decimal(38,0)"))).first()[0]
-        if sign == before:
+        jumped = table.join(nxt, "new", "left").select("old", F.when(F.col("further") == F.col("old"), F.least("old", "new")).otherwise(F.coalesce("further", "new")).alias("new"), "further")
+        moved = cut(jumped.select("old", "new", (F.col("further").isNotNull() & (F.col("further") != F.col("old"))).alias("open")))
+        drop(table)
+        table, turn = moved.select("old", "new"), turn + 1
+        left = moved.where("open").join(table.select(F.col("old").alias("new"), F.col("new").alias("next")).where("new <> next"), "new").limit(1).count()
+        if not left:
+            return table.where("old <> new")
+        if 2**turn > 4 * n:
+            # only cycles of three and more are left: every member goes to the least of its cycle
+            rings = connected_components(redirects.where("old is not null and new is not null and old <> new").select(F.col("old").alias("a"), F.col("new").alias("b")))
+            return _ring_ends(redirects, rings)
+
+
+def _ring_ends(redirects: DataFrame, groups: DataFrame) -> DataFrame:
+    """(old, new) where chains end in longer cycles: leaves are peeled off until only cycles stay, whose least member stands for a group."""
+    first = cut(redirects.where("old is not null and new is not null and old <> new").groupBy("old").agg(F.min("new").alias("new")))
+    ring = first
+    while True:
+        kept = cut(ring.join(ring.select(F.col("new").alias("old")).distinct(), "old", "left_semi"))
+        if kept.count() == ring.count():
             break
-        before = sign
-    return table.where("old <> new")
+        ring = kept
+    inside = ring.select("old").unionByName(first.select(F.col("new").alias("old")).join(first.select("old"), "old", "left_anti")).distinct()
+    ends = inside.join(groups.withColumnRenamed("node", "old"), "old").groupBy("component").agg(F.min("old").alias("new"))
+    out = first.select("old").join(groups.withColumnRenamed("node", "old"), "old").join(ends, "component").select("old", "new")
+    return out.where("old <> new")
 
 
 def decision_redirects(spark: SparkSession, base: str) -> DataFrame:
@@ -175,8 +190,12 @@ QUERIES = {
 }
 _REG = f"""reg as (select uri, arg_max(label, (length(label), label)) label, min({ETYPE}) entity_type,
   coalesce(max(case when isnan(confidence) or confidence < 0 or confidence > 1 then null else round(confidence, 3) end), 0.0) confidence, min(nullif(regexp_replace(ontology_uri, '^\\s+|\\s+$', '', 'g'), '')) ontology_uri, count(*) mentions, array_to_string(list_sort(list_distinct(list(source) filter (source is not null))), ',') sources from entities where uri is not null group by 1)"""
-_KEY = "trim(regexp_replace(lower(label), '[^a-z0-9]+', ' ', 'g'))"
-_LKEY = "trim(regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace(label, '^\\s+|\\s+$', '', 'g')), '[–—−]', '-', 'g'), '[^\\p{L}\\p{M}\\p{N}_\\s:/.-]+', ' ', 'g'), '\\s+', ' ', 'g'))"
+_quote = lambda x: x.replace("'", "''")
+_COMPAT = f"translate(label, '{_quote(C.WIDE)}', '{_quote(C.PLAIN)}')"
+for _a, _b in C.LIGATURES:
+    _COMPAT = f"replace({_COMPAT}, '{_a}', '{_b}')"
+_KEY = f"trim(regexp_replace(lower({_COMPAT}), '[^a-z0-9]+', ' ', 'g'))"
+_LKEY = "trim(regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace(@, '^\\s+|\\s+$', '', 'g')), '[–—−]', '-', 'g'), '[^\\p{L}\\p{M}\\p{N}_\\s:/.-]+', ' ', 'g'), '\\s+', ' ', 'g'))".replace("@", _COMPAT)
 ORACLE = {
     "registry": f"with {_REG} select uri, label, entity_type, cast(confidence as double) as confidence, ontology_uri, mentions, sources from reg",
     "exact_groups": f"with {_REG}, k as (select *, {_KEY} k from reg), g as (select entity_type, k, count(*) n, arg_min(uri, (-confidence, uri)) canonical from k where k <> '' group by 1, 2 having count(*) > 1) select k.uri, g.canonical, g.n as size from k join g using (entity_type, k)",
