@@ -165,7 +165,7 @@ def camel_case(c: Column) -> Column:
 
 def uri_safe(c: Column) -> Column:
     """The local part of a uri: blanks to underscores, what may not stand in one percent-encoded (``url_encode`` writes a blank as ``+``)."""
-    return F.replace(F.replace(F.replace(F.replace(F.url_encode(F.regexp_replace(strip(c), r"\s+", "_")), F.lit("%3A"), F.lit(":")), F.lit("%40"), F.lit("@")), F.lit("%2F"), F.lit("/")), F.lit("%7E"), F.lit("~"))
+    return F.replace(F.replace(F.replace(F.replace(F.url_encode(F.regexp_replace(strip(c), r"(?U)\s+", "_")), F.lit("%3A"), F.lit(":")), F.lit("%40"), F.lit("@")), F.lit("%2F"), F.lit("/")), F.lit("%7E"), F.lit("~"))
 
 
 def is_iri(c: Column) -> Column:
@@ -268,6 +268,11 @@ def normalize_predicate(c: Column) -> Column:
     return F.coalesce(F.try_element_at(table, key), F.try_element_at(table, F.replace(key, F.lit(" "), F.lit(""))), F.lit(V.DEFAULT_PREDICATE))
 
 
+def exact_predicate(c: Column) -> Column:
+    """The canonical predicate that a text names in any case; null for every other spelling."""
+    return mapped(F.lower(strip(c)), {p.lower(): p for p in V.PREDICATE_SPELLINGS})
+
+
 def vote_bucket(c: Column) -> Column:
     low = F.lower(strip(c))
     return F.when(low.isin(*V.POSITIVE_VOTES), "endorses").when(low.isin(*V.NEGATIVE_VOTES), "disagreesWith").when(low.isin(*V.NEUTRAL_VOTES), "isNeutralOn").otherwise("interactsWith")

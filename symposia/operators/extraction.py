@@ -6,17 +6,22 @@ quoted, cleaned (confidence, known ends), mapped to canonical predicates and giv
 
 from __future__ import annotations
 
+import hashlib
 import json
+import random
 import re
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from symposia.functions import columns as C
-from symposia.operators.segments import _FOUND, chunks, term_mentions, texts
+from symposia.operators.entities import MENTIONS, mentions
+from symposia.operators.segments import chunks, texts
 from symposia.rules import vocabulary as V
+from symposia.runtime import salted
 
 Extractor = Callable[[list[str]], list[str]]
 ENTITIES = "struct<entities: array<struct<surface_form: string, entity_type: string, ontology_uri: string, confidence: string>>>"
@@ -54,7 +59,30 @@ def repaired(replies: DataFrame, column: str, key: str) -> DataFrame:
             pdf[column] = [repair_json(t, key) for t in pdf[column]]
             yield pdf
 
-    return replies.mapInPandas(run, replies.schema)
+    good = F.coalesce(F.json_array_length(F.get_json_object(column, f"$.{key}")).isNotNull() & F.from_json(column, f"{key} array<string>").isNotNull(), F.lit(False))
+    return replies.where(good).unionByName(replies.where(~good).mapInPandas(run, replies.schema))
+
+
+def transient(error: Exception) -> bool:
+    """Whether another try may help: the service was busy, failed within, or took too long."""
+    text = f"{type(error).__name__} {error}".lower()
+    return isinstance(error, TimeoutError) or bool(re.search(r"\b(429|5\d\d)\b|timeout|timed out|rate limit|temporarily", text))
+
+
+def with_retries(extractor: Extractor, tries: int = 3, wait: float = 0.5, most: float = 4.0) -> Extractor:
+    """An extractor that tries again after transient errors, waiting twice as long each time and a little at random."""
+
+    def run(found: list[str]) -> list[str]:
+        for k in range(tries):
+            try:
+                return extractor(found)
+            except Exception as e:  # noqa: BLE001
+                if k == tries - 1 or not transient(e):
+                    raise
+                time.sleep(min(most, wait * 2**k) * (1 + 0.1 * random.random()))
+        return []
+
+    return run
 
 
 def extract(rows: DataFrame, extractor: Extractor) -> DataFrame:
@@ -115,22 +143,48 @@ def lexicon_entities(spark: SparkSession, base: str) -> DataFrame:
     return cleaned_entities(extract(chunks(texts(spark, base)), lexicon_extractor))
 
 
-def cooccurrence_edges(spark: SparkSession, base: str, first: int = 30, most: int = 120) -> DataFrame:
-    """(origin_key, source, target, confidence): term pairs of a record in order of first mention; the first ``first``
-    terms and ``most`` pairs of a record count, which is the operator's definition (the lexicon has fewer terms)."""
-    from pyspark.sql import Window
+def cue_extractor(found: list[str]) -> list[str]:
+    """Relations by cue: in a sentence that names two terms and a cue, the first term stands in the cue's relation to the second."""
+    uri = lambda t: V.KG + hashlib.sha256(f"{t}|EthicalConcept|{V.TERMS[t]}".encode()).hexdigest()[:15]
+    out = []
+    for text in found:
+        items = []
+        for sentence in re.findall(r"[^.!?]+[.!?]?", text):
+            low = sentence.lower()
+            named = sorted((low.index(t), t) for t in V.TERMS if t in low)
+            cue = next((p for pattern, p in V.EVIDENCE_CUES if re.search(pattern, low)), None)
+            if len(named) > 1 and cue:
+                items.append({"source_id": uri(named[0][1]), "relation": cue, "target_id": uri(named[1][1]), "confidence": 0.7, "evidence_quote": sentence.strip()})
+        out.append(json.dumps({"relations": items}))
+    return out
+
+
+def extracted_relations(spark: SparkSession, base: str) -> DataFrame:
+    """Relations by cue between the lexicon's entities of a record, cleaned: the least uri's row of each statement stands."""
+    pieces = chunks(texts(spark, base))
+    allowed = cleaned_entities(extract(pieces, lexicon_extractor)).select("origin_key", "uri")
+    replies = repaired(extract(pieces, with_retries(cue_extractor)), "reply", "relations")
+    rows = cleaned_relations(replies, allowed)
+    return rows.groupBy("origin_key", "source", "relation", "target", "uri").agg(F.max("confidence").alias("confidence"), F.min("evidence").alias("evidence"))
+
+
+def cooccurrence_edges(spark: SparkSession, base: str, first: int | None = None, most: int | None = None) -> DataFrame:
+    """(origin_key, chunk_index, source, target, confidence): entities named in one chunk, in order of their first place there.
 
-    firsts = term_mentions(spark, base).groupBy("origin_key", "term").agg(F.min("start_char").alias("at"))
-    ranked = firsts.withColumn("rn", F.row_number().over(Window.partitionBy("origin_key").orderBy("at", "term"))).where(F.col("rn") <= first)
-    listed = ranked.groupBy("origin_key").agg(F.array_sort(F.collect_list(F.struct("rn", "term"))).alias("ts")).where(F.size("ts") > 1)
-    pairs = listed.select("origin_key", "ts", F.explode("ts").alias("a")).select("origin_key", "a", F.explode(F.filter("ts", lambda b: b["rn"] > F.col("a")["rn"])).alias("b"))
-    n = F.row_number().over(Window.partitionBy("origin_key").orderBy("a.rn", "b.rn"))
-    return pairs.withColumn("n", n).where(F.col("n") <= most).select("origin_key", F.col("a.term").alias("source"), F.col("b.term").alias("target"), F.lit(V.CONFIDENCE["cooccurrence"]).alias("confidence"))
+    ``first`` and ``most`` bound the entities and pairs of a chunk where a caller wants that; without them all count."""
+    named = mentions(spark, base).groupBy("origin_key", "chunk_index", "uri").agg(F.min(F.coalesce("start_char", F.lit(2**62))).alias("at"))
+    chunk = ["origin_key", "chunk_index"]
+    if first:
+        named = named.withColumn("rn", F.row_number().over(Window.partitionBy(*chunk).orderBy("at", "uri"))).where(F.col("rn") <= first).drop("rn")
+    left, right = salted(named.select(*chunk, F.col("uri").alias("source"), F.col("at").alias("a")), named.select(*chunk, F.col("uri").alias("target"), F.col("at").alias("b")), chunk)
+    pairs = left.join(right, [*chunk, "_salt"]).where((F.col("a") < F.col("b")) | ((F.col("a") == F.col("b")) & (F.col("source") < F.col("target"))))
+    if most:
+        pairs = pairs.withColumn("n", F.row_number().over(Window.partitionBy(*chunk).orderBy("a", "source", "b", "target"))).where(F.col("n") <= most)
+    return pairs.select(*chunk, "source", "target", F.lit(V.CONFIDENCE["cooccurrence"]).alias("confidence"))
 
 
-QUERIES = {"lexicon_entities": lexicon_entities, "cooccurrence_edges": cooccurrence_edges}
+QUERIES = {"lexicon_entities": lexicon_entities, "cooccurrence_edges": cooccurrence_edges, "extracted_relations": extracted_relations}
 ORACLE = {
-    "cooccurrence_edges": f"""with {_FOUND}, g as (select k, term, min(s) lo from f group by 1, 2), r as (select *, row_number() over (partition by k order by lo, term) rn from g),
-p2 as (select a.k, a.term source, b.term target, row_number() over (partition by a.k order by a.rn, b.rn) n from r a join r b on a.k = b.k and a.rn < b.rn where b.rn <= 30)
-select k as origin_key, source, target, cast(0.35 as double) as confidence from p2 where n <= 120""",
+    "cooccurrence_edges": f"""with {MENTIONS}, g as (select origin_key, chunk_index, uri, min(coalesce(start_char, 4611686018427387904)) at_ from men group by all)
+select a.origin_key, a.chunk_index, a.uri as source, b.uri as target, cast(0.35 as double) as confidence from g a join g b on a.origin_key = b.origin_key and a.chunk_index = b.chunk_index and (a.at_ < b.at_ or (a.at_ = b.at_ and a.uri < b.uri))""",
 }

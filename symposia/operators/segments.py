@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -98,6 +98,24 @@ def chunk_spans(text: str | None) -> list[tuple[int, int, int]]:
     return out
 
 
+_CUES = "|".join(re.escape(c) for c in V.SOFT_CUES)
+
+
+def cue_pieces(spark: SparkSession, base: str) -> DataFrame:
+    """(origin_key, piece, n_chars): records cut at the phrases that open a new point, the phrases left out; blank pieces have no row."""
+    cut_at = F.split(F.lower("text"), _CUES)
+    rows = texts(spark, base).where("text is not null").select("origin_key", F.posexplode(cut_at).alias("piece", "part"))
+    return rows.select("origin_key", "piece", F.length(F.trim("part")).alias("n_chars")).where("n_chars > 0")
+
+
+Resolver = Callable[[DataFrame], DataFrame]
+
+
+def resolved(rows: DataFrame, resolver: Resolver | None = None) -> DataFrame:
+    """Texts after coreference resolution: the hook of a run; without a resolver texts stay as they are."""
+    return resolver(rows) if resolver else rows
+
+
 def texts(spark: SparkSession, base: str) -> DataFrame:
     """(origin_key, discourse_id, text) of every record that holds text: themes, questions, answers, experts, documents."""
     part = lambda t, field, c: read(spark, base, t).select(F.lit(field).alias("field"), F.col("id" if t != "documents" else "doc_id").cast("string").alias("discourse_id"), c.alias("text"))
@@ -217,12 +235,13 @@ def enforce_gate(report: DataFrame, most: float = 0.0) -> None:
         raise GateError(f"{row['u']} of {row['c']} mentions are not grounded")
 
 
-QUERIES = {"text_chunks": text_chunks, "chunk_sizes": chunk_sizes, "term_mentions": term_mentions, "term_counts": term_counts, "entity_grounding": entity_grounding, "provenance_gate": provenance_gate}
+QUERIES = {"cue_pieces": cue_pieces, "text_chunks": text_chunks, "chunk_sizes": chunk_sizes, "term_mentions": term_mentions, "term_counts": term_counts, "entity_grounding": entity_grounding, "provenance_gate": provenance_gate}
 _TEXTS = "texts as (select 'themes|' || id k, description t from themes union all select 'questions|' || id, coalesce(body, title) from questions union all select 'answers|' || id, body from answers union all select 'experts|' || id, bio from experts union all select 'documents|' || doc_id, text from documents)"
 _TERMS = "terms(term, uri) as (values " + ", ".join(f"('{k}', '{v}')" for k, v in V.TERMS.items()) + ")"
 _FOUND = f"""{_TEXTS}, {_TERMS}, p as (select k, term, uri, string_split(lower(t), term) parts from texts, terms where t is not null and contains(lower(t), term)),
 i as (select k, term, uri, parts, unnest(range(1, len(parts))) n from p), f as (select k, term, uri, list_sum(list_transform(list_slice(parts, 1, n), lambda x: length(x))) + (n - 1) * length(term) s from i)"""
 ORACLE = {
+    "cue_pieces": f"with {_TEXTS}, p as (select k, string_split_regex(lower(t), '{_CUES.replace(chr(92) + ' ', ' ').replace(chr(92) + '-', '-')}') ps from texts where t is not null), q as (select k, unnest(ps) part, generate_subscripts(ps, 1) - 1 piece from p) select k as origin_key, cast(piece as integer) as piece, cast(length(trim(part)) as integer) as n_chars from q where trim(part) <> ''",
     "term_mentions": f"with {_FOUND} select k as origin_key, split_part(k, '|', 2) as discourse_id, term, uri as ontology_uri, cast(s as integer) as start_char, cast(s + length(term) as integer) as end_char from f",
     "term_counts": f"with {_FOUND} select term, uri as ontology_uri, count(*) as mentions, count(distinct k) as texts, cast(sum(s) as bigint) as starts from f group by 1, 2",
 }
