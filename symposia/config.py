@@ -18,6 +18,10 @@ class EngineConfig:
     most_unknown: float = 0.02
     strict_provenance: bool = False
     output_format: str = "parquet"
+    triple_format: str = "nt"
+    fail_on_shapes: bool = False
+    strict_predicates: bool = False
+    consolidate: bool = True
 
     def check(self) -> list[str]:
         bad = [n for n in ("fuzzy_threshold", "least_confidence", "most_unknown") if not 0 <= getattr(self, n) <= 1]
@@ -25,6 +29,8 @@ class EngineConfig:
             bad.append("inference_rounds")
         if self.output_format not in ("parquet", "json"):
             bad.append("output_format")
+        if self.triple_format not in ("nt", "ttl", "jsonld", "xml"):
+            bad.append("triple_format")
         return bad
 
 

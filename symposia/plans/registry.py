@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from symposia.operators import analytics, entities, extraction, graph, keys, linking, metrics, ontology, orphans, predicates, reasoning, resolve, segments, structure, triples
+from symposia.sources import discourse
 from symposia.streaming import ingest
 
-_MODULES = (orphans, structure, analytics, graph, predicates, reasoning, ontology, resolve, segments, entities, extraction, triples, metrics, linking, keys, ingest)
+_MODULES = (orphans, structure, analytics, graph, predicates, reasoning, ontology, resolve, segments, entities, extraction, triples, metrics, linking, keys, discourse, ingest)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 for _module in _MODULES:

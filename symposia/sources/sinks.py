@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from symposia.rules import vocabulary as V
+from symposia.runtime import hot_keys
 
 XSD = "http://www.w3.org/2001/XMLSchema#"
 RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
@@ -63,18 +64,31 @@ def write_n_triples(triples: DataFrame, path: str) -> None:
     n_triples(triples).write.mode("overwrite").text(path)
 
 
+#: A subject with more triples than this is written in parts, so that no row grows with a hub.
+SUBJECT_ROWS = 10_000
+
+
+def in_parts(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` with ``_part``: 0, or for keys of very many rows the number of the part a row falls into."""
+    hot = hot_keys(rows, [key], SUBJECT_ROWS)
+    if hot is None:
+        return rows.withColumn("_part", F.lit(0))
+    spread = F.xxhash64(*[F.to_json(c) if rows.schema[c].dataType.typeName() == "struct" else F.col(c) for c in rows.columns if c != key])
+    return rows.join(F.broadcast(hot), key, "left").withColumn("_part", F.pmod(spread, F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts")
+
+
 def turtle(triples: DataFrame) -> DataFrame:
-    """(value) one Turtle block per subject. Lines of a subject are gathered by an aggregate that spills."""
+    """(value) one Turtle block per subject; a subject of more than SUBJECT_ROWS triples has several, which say the same."""
     lines = n_triples(triples).select(F.split("value", " ", 2).alias("x"))
-    parts = lines.select(F.col("x")[0].alias("s"), F.regexp_replace(F.col("x")[1], r" \.$", "").alias("po"))
-    return parts.groupBy("s").agg(F.array_join(F.array_sort(F.collect_list("po")), " ;\n    ").alias("body")).select(F.concat(F.col("s"), F.lit(" "), F.col("body"), F.lit(" .\n")).alias("value"))
+    parts = in_parts(lines.select(F.col("x")[0].alias("s"), F.regexp_replace(F.col("x")[1], r" \.$", "").alias("po")), "s")
+    return parts.groupBy("s", "_part").agg(F.array_join(F.array_sort(F.collect_list("po")), " ;\n    ").alias("body")).select(F.concat(F.col("s"), F.lit(" "), F.col("body"), F.lit(" .\n")).alias("value"))
 
 
 def json_ld(triples: DataFrame) -> DataFrame:
-    """(value) one JSON-LD node object per subject."""
+    """(value) one JSON-LD node object per subject; a subject of more than SUBJECT_ROWS triples has several."""
     iri = F.when(F.col("o_kind") == "iri", object_iri(F.col("p"), F.col("o"))).otherwise(F.col("o"))
     rows = triples.distinct().select(F.col("s"), predicate_iri(F.col("p")).alias("p"), F.struct(iri.alias("o"), "o_kind", "o_datatype", "o_lang").alias("v"))
-    grouped = rows.groupBy("s").agg(F.array_sort(F.collect_list(F.struct("p", "v"))).alias("ps"))
+    grouped = in_parts(rows, "s").groupBy("s", "_part").agg(F.array_sort(F.collect_list(F.struct("p", "v"))).alias("ps"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -110,6 +124,19 @@ def rdf_xml(triples: DataFrame) -> DataFrame:
 XML_FRAME = (f'<?xml version="1.0"?>\n<rdf:RDF xmlns:rdf="{RDF}" xmlns:k="{V.KG}">', "</rdf:RDF>")
 
 
+def rdf_xml_document(triples: DataFrame, path: str) -> None:
+    """RDF/XML, every file of it whole: elements between the frame's two parts."""
+    head, foot = XML_FRAME
+
+    def framed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"value": [head]})
+        for pdf in frames:
+            yield pdf
+        yield pd.DataFrame({"value": [foot]})
+
+    rdf_xml(triples).mapInPandas(framed, "value string").write.mode("overwrite").text(path)
+
+
 def annotations(entities: DataFrame, relations: DataFrame) -> DataFrame:
     """(section, record_id, entities, relations): the nested view of flat rows keyed by section and record."""
     e = entities.groupBy("section", "record_id").agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in entities.columns if c not in ("section", "record_id")]))).alias("entities"))

@@ -173,7 +173,7 @@ def test_spine_and_shapes(spark):
     g = spark.createDataFrame([(*x, "float" if x[1] == "confidence" else None, None) for x in rows], "s string, p string, o string, o_kind string, o_datatype string, o_lang string")
     assert [(r.s, r.subject, r.object) for r in triples.spine_violations(g).collect()] == [("s", 2, 0)]
     found = {(r.node, r.path, r.constraint) for r in triples.check_shapes(g).where("shape = 'Relation'").collect()}
-    assert {("r", "object", "class"), ("s", "subject", "maxCount"), ("s", "object", "minCount"), ("s", "confidence", "range"), ("r", "hasEvidence", "minCount")} <= found
+    assert {("r", "object", "or"), ("s", "subject", "maxCount"), ("s", "object", "minCount"), ("s", "confidence", "range"), ("r", "hasEvidence", "minCount")} <= found
     closed = triples.with_closure(g)
     assert closed.where("s = 'b' and p = 'type'").count() == 1
 

@@ -41,18 +41,31 @@ def test_quote_nearest_to_the_pair(spark, middle, want):
     assert df.select(linking.quote_starts(F.lit("aaa"), F.lit("aa")).alias("x")).first().x == [0, 1]
 
 
-def test_fuzzy_pairs_miss_nothing_in_a_large_block(spark):
-    """The second blocking of a general first word loses no pair that reaches the threshold."""
-    r = random.Random(1)
-    words = ["aaa", "bbb", "ccc", "ddd", "eee", "fff", "ggg", "hhh"]
-    labels = sorted({" ".join(sorted(r.sample(words, r.randint(4, 7)))) for _ in range(60)})
-    rows = spark.createDataFrame([(f"u{i}", "Risk", x) for i, x in enumerate(labels)], "uri string, entity_type string, label string")
-    got = {frozenset((x.a, x.b)) for x in resolve.candidate_pairs(rows, most=3).collect()}
-    for i, x in enumerate(labels):
-        for j in range(i):
-            a, b = set(x.split()), set(labels[j].split())
-            if (len(a & b) / len(a | b) + SequenceMatcher(None, labels[j], x).ratio()) / 2 >= 0.92:
-                assert frozenset((f"u{i}", f"u{j}")) in got
+def jaccard(a, b):
+    x, y = set(a.split()), set(b.split())
+    return len(x & y) / len(x | y)
+
+
+def test_candidates_are_complete_at_every_size_of_block(spark):
+    """One word in a third of all labels, labels of one to thirty words: against all pairs."""
+    r = random.Random(3)
+    words = [f"w{k:02}" for k in range(40)]
+    labels = set()
+    for _ in range(400):
+        own = r.sample(words, r.choice([1, 2, 3, 5, 8, 20, 22, 30]))
+        labels.add(" ".join(sorted(own)))
+        near = list(own)
+        for _ in range(r.randint(0, 2)):
+            near[r.randrange(len(near))] = r.choice(words)
+        labels.add(" ".join(sorted(set(near))))
+        if r.random() < 0.33:
+            labels.add(" ".join(sorted({"general", *own})))
+    labels.add("ac bc cc dc ec fc gc hc ic jc kc lc mc nc oc pc qc rc sc tc")
+    labels.add("ac ad bc bd cc dc ec fc gc hc ic jc kc lc mc nc oc pc qc rc sc tc")
+    rows = [(f"u{k:04}", "Risk", x) for k, x in enumerate(sorted(labels))]
+    found = {(x.a, x.b) for x in resolve.candidate_pairs(spark.createDataFrame(rows, "uri string, entity_type string, label string")).collect()}
+    want = {(a, b) for k, (a, _, x) in enumerate(rows) for b, _, y in rows[k + 1 :] if jaccard(x, y) >= 0.84}
+    assert len(want) > 50 and want <= found
 
 
 def test_consolidation_misses_no_pair(spark):
