@@ -133,7 +133,7 @@ def name(r: Source) -> str:
         out = out.upper()
     elif style < 0.16 and f in out:
         out = out.replace(f, f.upper())
-    elif style < 0.18:
+    elif style < 0.20:
         out = out.lower()
     if r.random() < 0.03:
         out = out.replace(" ", r.choice([" ", "  "]), 1)
@@ -355,11 +355,11 @@ def train(tables: str, out: str, minutes: float, workers: int = 8, start: str |
     m = {k: np.zeros_like(v) for k, v in w.items()}
     v2 = {k: np.zeros_like(v) for k, v in w.items()}
     began, step = time.time(), 0
-    seed0 = 1_000_003 if start else 7
+    seed0 = int(began) if start else 7
     with mp.get_context("fork").Pool(workers) as pool:
         while (done := (time.time() - began) / (60 * minutes)) < 1:
             step += 1
-            rate = (0.004 if start else 0.006) * (0.5 * (1 + np.cos(np.pi * done))) + 1e-5
+            rate = (0.003 if start else 0.006) * (0.5 * (1 + np.cos(np.pi * done))) + 1e-5
             results = pool.map(_work, [(seed0 + step * workers + k, w) for k in range(workers)], chunksize=1)
             grads = {k: sum(g[k] for _, g in results) / workers for k in w}
             norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
