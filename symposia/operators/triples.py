@@ -133,7 +133,7 @@ def with_closure(triples: DataFrame) -> DataFrame:
     """A type for every object of a relation that has no triple of its own."""
     triples = cut(triples)
     ends = triples.where("p in ('subject', 'object') and o_kind = 'iri'").select(F.col("o").alias("s")).distinct()
-    bare = ends.join(triples.select("s").distinct(), "s", "left_anti")
+    bare = cut(ends.join(triples.select("s").distinct(), "s", "left_anti"))
     return triples.unionByName(unfold(bare, F.col("s"), [triple("type", F.lit("Entity"), "iri")]))
 
 
@@ -185,18 +185,18 @@ def triple_counts(spark: SparkSession, base: str) -> DataFrame:
     return rows.groupBy("p", "o_kind").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("s").alias("subjects"))
 
 
-def check_shapes(triples: DataFrame) -> DataFrame:
+def check_shapes(triples: DataFrame, held: bool = False) -> DataFrame:
     """(node, shape, path, constraint, severity) of every violation of the shapes, all in one evaluation.
 
     Shapes are a fixed table joined by class (with its superclasses) and path; counts and value tests come out of one
-    aggregate per node and path, the classes of values out of one join."""
-    triples = cut(triples)
+    aggregate per node and path, the classes of values out of one join. ``held`` triples are cheap to read again."""
+    triples = triples if held else cut(triples)
     spark = triples.sparkSession
     schema = "shape string, path string, least int, most int, datatype string, kind string, value_class string, severity string"
     shapes = F.broadcast(spark.createDataFrame([tuple(x) for x in V.SHAPES], schema))
     closure = F.broadcast(superclasses(spark))
     types = triples.where("p = 'type'").select(F.col("s").alias("node"), F.col("o").alias("class")).distinct()
-    every = types.join(closure, "class", "left").select("node", F.coalesce("above", "class").alias("class")).distinct()
+    every = cut(types.join(closure, "class", "left").select("node", F.coalesce("above", "class").alias("class")).distinct())
     # evidence is also known by its name
     named = triples.where(F.startswith("s", F.lit(f"{V.KG}evidence_"))).select(F.col("s").alias("node"), F.lit("Evidence").alias("class")).distinct()
     focus = every.unionByName(named).distinct().join(shapes, F.col("class") == F.col("shape")).drop("class")
@@ -228,7 +228,7 @@ def check_shapes(triples: DataFrame) -> DataFrame:
 def shape_report(spark: SparkSession, base: str) -> DataFrame:
     """Violations per shape, path, constraint and severity; the graph conforms when no row has severity Violation."""
     graph = with_closure(graph_triples(spark, base).unionByName(field_assertions(spark, base)))
-    return check_shapes(graph).groupBy("shape", "path", "constraint", "severity").agg(F.count(F.lit(1)).alias("n"))
+    return check_shapes(graph, held=True).groupBy("shape", "path", "constraint", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
 class ShapeError(RuntimeError):

@@ -46,7 +46,7 @@ def build(spark: SparkSession, base: str, config: settings.EngineConfig) -> dict
         "analytics": graph_operators.analytics_summary(spark, base),
         "metrics": metrics.quality_metrics(spark, base),
         "schema": ontology.onto_triples(spark, base),
-        "shapes": triples.check_shapes(graph),
+        "shapes": triples.check_shapes(graph, held=True),
         "triples": graph,
         "run": spark.createDataFrame([(config.dataset_id, config.run_id, VERSION, "reasoned" if config.reasoning else "asserted")], "dataset_id string, run_id string, version string, mode string"),
     }
