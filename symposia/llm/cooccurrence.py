@@ -94,7 +94,8 @@ def p4_found(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p4_scores(spark: SparkSession, base: str) -> DataFrame:
-    return pair_scores(entity_baskets(spark, base)).select(
+    """Every pair seen together more than once, at or below chance as well, with its counts, lift and conviction."""
+    return pair_scores(entity_baskets(spark, base), min_count=2, min_lift=0).select(
         F.col("item_a").alias("uri_a"), F.col("item_b").alias("uri_b"), "n_ab", "n_a", "n_b", "n", "lift", "conviction"
     )
 
@@ -109,7 +110,8 @@ c as (select uri, count(*) k from base group by 1),
 ab as (select a.uri uri_a, b.uri uri_b, count(*) n_ab from base a join base b on a.record = b.record and a.uri < b.uri group by 1, 2 having count(*) >= 5),
 s as (select uri_a, uri_b, n_ab, x.k n_a, y.k n_b, n from ab join c x on x.uri = uri_a join c y on y.uri = uri_b, total where n_ab * n >= 3 * x.k * y.k)
 """
+_EVERY = _PAIRS.replace("having count(*) >= 5", "having count(*) >= 2").replace(" where n_ab * n >= 3 * x.k * y.k", "")
 ORACLE = {
     "p4_found": _PAIRS + "select uri_a, uri_b from s",
-    "p4_scores": _PAIRS + "select uri_a, uri_b, n_ab, n_a, n_b, n, round(n_ab * n / (n_a * n_b), 6) as lift, case when n_ab < n_a then round((1 - n_b / n) / (1 - n_ab / n_a), 6) end as conviction from s",
+    "p4_scores": _EVERY + "select uri_a, uri_b, n_ab, n_a, n_b, n, round(n_ab * n / (n_a * n_b), 6) as lift, case when n_ab < n_a then round((1 - n_b / n) / (1 - n_ab / n_a), 6) end as conviction from s",
 }
