@@ -93,7 +93,8 @@ def hot_keys(rows: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK)
 def salted(facts: DataFrame, table: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK) -> tuple[DataFrame, DataFrame]:
     """``facts`` and ``table`` with a further join column ``_salt``: only hot keys are spread, and only their table rows copied."""
     hot = hot_keys(facts, on, rows_per_task)
-    spread = F.xxhash64(*[F.col(c) for c in facts.columns if c not in on] or [F.lit(0)])
+    # a map has no hash: its text stands for it
+    spread = F.xxhash64(*[F.col(f"`{c}`").cast("string") if "map<" in kind else F.col(f"`{c}`") for c, kind in facts.dtypes if c not in on] or [F.lit(0)])
     no_key = F.expr(" or ".join(f"`{c}` is null" for c in on))
     # null keys match nothing, so they are spread at will
     loose = F.pmod(spread, F.lit(partitions(facts.sparkSession))).cast("int")

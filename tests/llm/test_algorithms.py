@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from symposia import runtime
 from symposia.llm import components, cooccurrence, mixing, names, queries, splitting, survivors
 
 
@@ -203,6 +204,14 @@ def test_fields_of_a_redelivered_survivor_stay(spark, tables):
     assert survivors.p7_survivors(spark, tables(relations=rows)).first().context == "own"
 
 
+def test_more_groups_than_a_broadcast_holds(spark, tables, monkeypatch):
+    """The spread join hashes whole rows, metadata among them."""
+    rows = [{"uri": f"{g}{k}", "source": f"s{g}", "target": "t", "relation": "r", "confidence": k / 10, "metadata": {"extractor": "llm"}} for g in range(5) for k in range(3)]
+    base = tables(relations=rows)
+    monkeypatch.setattr(survivors, "lookup", lambda facts, table, on, how: runtime.salted_join(facts, table, on, how, rows_per_task=1))
+    assert {tuple(r) for r in survivors.p7_found(spark, base).collect()} == {(f"s{g}", "t", "r", f"{g}2") for g in range(5)}
+
+
 # --- 9: mixing
 
 
