@@ -244,33 +244,55 @@ def greedy_modularity(edge_rows: DataFrame) -> DataFrame:
     m = len(pairs)
     if not m:
         return edge_rows.sparkSession.createDataFrame([], "node string, community string")
-    weight: dict[str, dict[str, float]] = {}
-    for a, b in pairs:
-        weight.setdefault(a, {})[b] = 1.0
-        weight.setdefault(b, {})[a] = 1.0
-    degree = {x: sum(v.values()) for x, v in weight.items()}
-    member = {x: [x] for x in weight}
+    # numbers in the order of the names: ties fall as they would by name
+    names = sorted({x for p in pairs for x in p})
+    number = {x: k for k, x in enumerate(names)}
+    weight: list[dict[int, int] | None] = [{} for _ in names]
+    for k, (a, b) in enumerate(pairs):
+        a, b = number[a], number[b]
+        pairs[k] = (a, b)
+        weight[a][b] = weight[b][a] = 1
+    del number
+    degree = [len(v) for v in weight]
+    parent = list(range(len(names)))
     gain = lambda a, b: weight[a][b] / m - degree[a] * degree[b] / (2.0 * m * m)
-    heap = [(-gain(a, b), a, b) for a in weight for b in weight[a] if a < b]
+    heap = [(-gain(a, b), a, b) for a, b in pairs]
+    del pairs
     heapq.heapify(heap)
+    bound = max(1000, 4 * len(heap))
     while heap:
         g, a, b = heapq.heappop(heap)
         if -g <= 0:
             break
-        if a not in weight or b not in weight or b not in weight[a] or abs(-g - gain(a, b)) > 1e-12:
+        if weight[a] is None or weight[b] is None or b not in weight[a] or abs(-g - gain(a, b)) > 1e-12:
             continue
-        for x, w in weight.pop(b).items():
-            weight[x].pop(b, None)
+        for x, w in weight[b].items():
+            del weight[x][b]
             if x != a:
-                weight[a][x] = weight[a].get(x, 0.0) + w
-                weight[x][a] = weight[a][x]
-        degree[a] += degree.pop(b)
-        member[a] += member.pop(b)
+                weight[a][x] = weight[x][a] = weight[a].get(x, 0) + w
+        weight[b] = None
+        degree[a] += degree[b]
+        parent[b] = a
         for x in weight[a]:
-            lo, hi = min(a, x), max(a, x)
-            heapq.heappush(heap, (-gain(lo, hi), lo, hi))
-    rows = [(x, min(xs)) for xs in member.values() for x in xs]
-    return edge_rows.sparkSession.createDataFrame(rows, "node string, community string")
+            lo, hi = (a, x) if a < x else (x, a)
+            v = gain(lo, hi)
+            # a pair that gains nothing now is pushed again when it does
+            if v > 0:
+                heapq.heappush(heap, (-v, lo, hi))
+        if len(heap) > bound:
+            # most of it is out of date: the pairs as they stand now say the same
+            heap = [(-v, a, b) for a, near in enumerate(weight) if near for b in near if a < b and (v := gain(a, b)) > 0]
+            heapq.heapify(heap)
+            bound = max(1000, 4 * len(heap))
+    del heap, weight
+
+    def rows() -> Iterator[tuple[str, str]]:
+        # a merger keeps the lesser number, so it comes before what it took in, and is the least of its members
+        for x in range(len(names)):
+            parent[x] = parent[parent[x]]
+            yield names[x], names[parent[x]]
+
+    return edge_rows.sparkSession.createDataFrame(pd.DataFrame(rows(), columns=["node", "community"]))
 
 
 QUERIES = {

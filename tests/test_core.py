@@ -148,6 +148,21 @@ def test_large_graphs_are_refused_by_whole_graph_operators(spark, monkeypatch):
         graph.betweenness(spark.range(5).selectExpr("cast(id as string) src", "cast(id + 1 as string) tgt"))
 
 
+def test_greedy_merging_keeps_no_outdated_pairs(spark):
+    """Hubs push all their pairs again with each merger: 27 MB on this graph before those out of date were dropped."""
+    import random
+    import tracemalloc
+
+    r = random.Random(1)
+    pairs = sorted({(f"n{r.randrange(1200):05}", f"n{int(1200 * r.random() ** 3):05}") for _ in range(6000)})
+    edges = spark.createDataFrame(pairs, "src string, tgt string")
+    tracemalloc.start()
+    out = graph.greedy_modularity(edges)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10e6 and out.count() == len({x for p in pairs if p[0] != p[1] for x in p})
+
+
 def test_votes_and_dispersion(spark, tables):
     t = D(2024, 1, 1)
     base = tables(
