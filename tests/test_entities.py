@@ -144,3 +144,22 @@ def test_semi_naive_rounds_equal_naive_ones(spark):
         want |= {(x.s, x.p, x.o, x.confidence, turn) for x in new.collect()}
         known = runtime.cut(known.unionByName(new.drop("rule")))
     assert got == want
+
+
+def test_every_rule_in_slices_and_blocks_equals_the_joins(spark, monkeypatch):
+    import random
+
+    from symposia.operators import rounds
+
+    monkeypatch.setattr(rounds, "SLICE", 3)
+    r = random.Random(5)
+    rows = list({(r.randrange(14), r.choice([*rounds.NAMES, "other"]), r.randrange(14)): 0 for _ in range(500)})
+    base = spark.createDataFrame([(*x, r.choice([0.3, 0.5, 0.62, 0.9]), k, k % 3 == 0) for k, x in enumerate(rows)], "s bigint, p string, o bigint, confidence double, key bigint, fresh boolean")
+    known = runtime.cut(base.withColumns({"c": F.col("confidence"), "k": F.col("key"), "p": F.create_map(*[F.lit(x) for kv in (rounds.CODE | {"other": -1}).items() for x in kv])[F.col("p")]}))
+    held = rounds.Known(runtime.located(known))
+    got = [(held.ids[s], rounds.NAMES[p], held.ids[o], c, order) for b in range(3) for s, p, os, cs, order in rounds.derived(held, b, 3) for o, c in zip(os, cs, strict=True)]
+    facts = base.drop("fresh").withColumn("key", F.format_string("%05d", "key"))
+    new, old = (facts.join(base.where(which).select("s", "p", "o"), ["s", "p", "o"], "left_semi") for which in ("fresh", "not fresh"))
+    best = reasoning.derive(facts, new, old).groupBy("s", "p", "o").agg(F.min_by(F.struct("confidence", "rule_ord"), F.struct("rule_ord", "k1", "k2")).alias("b")).join(facts.select("s", "p", "o"), ["s", "p", "o"], "left_anti")
+    want = {(x.s, x.p, x.o, x.b.confidence, x.b.rule_ord) for x in best.collect()}
+    assert len(got) == len(set(got)) and set(got) == want and len({x[4] for x in want}) > 10
