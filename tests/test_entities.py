@@ -172,3 +172,13 @@ def test_the_last_round_is_not_stored(spark, tmp_path, monkeypatch):
     out = reasoning.infer(spark.createDataFrame(hub, "s string, p string, o string, confidence double, key string"), 1)
     assert out.count() == 90_000
     assert sum(p.stat().st_size for p in tmp_path.rglob("*.parquet")) < 200_000
+
+
+def test_flat_counts_name_no_inferred_relation(spark, tables, monkeypatch):
+    def named(*_):
+        raise AssertionError("counts need no names")
+
+    monkeypatch.setattr(triples, "inferred_relations", named)
+    pairs = [("a", "b"), ("b", "c"), ("c", "d")]
+    base = tables(relations=[{"uri": f"u{k}", "source": s, "target": t, "relation": "uses", "confidence": 0.9} for k, (s, t) in enumerate(pairs)])
+    assert ("inferred", "uses", 3) in {tuple(r) for r in triples.flat_relations(spark, base).collect()}
