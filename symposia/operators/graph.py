@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +14,8 @@ from symposia.runtime import cut, drop, read
 
 #: Betweenness and greedy communities hold the whole graph in one worker; more edges than this are refused.
 WHOLE_GRAPH_EDGES = 200_000
+#: Sources of betweenness that walk together.
+WALKS = 16
 
 
 def edges(spark: SparkSession, base: str) -> DataFrame:
@@ -192,44 +194,52 @@ def betweenness(edge_rows: DataFrame) -> DataFrame:
     """(node, betweenness), directed and normalised; sources are spread over the tasks, each walks its shortest paths."""
     pairs = _refuse_large(edge_rows)
     spark = edge_rows.sparkSession
-    out: dict[str, list[str]] = {}
-    for s, t in pairs:
-        if s != t:
-            out.setdefault(s, []).append(t)
-    every = {x for p in pairs for x in p}
-    n = len(every)
-    shared = spark.sparkContext.broadcast({k: sorted(v) for k, v in out.items()})
+    names = sorted({x for p in pairs for x in p})
+    number, n = {x: k for k, x in enumerate(names)}, len(names)
+    links = np.array(sorted((number[s], number[t]) for s, t in pairs if s != t), np.int32).reshape(-1, 2)
+    del pairs, number
+    shared = spark.sparkContext.broadcast((np.searchsorted(links[:, 0], np.arange(n + 1)), links[:, 1].copy()))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        near = shared.value
-        total: dict[str, float] = {}
+        start, near = shared.value
+        total = np.zeros(n)
         for pdf in frames:
-            for s in pdf["node"]:
-                if s not in near:
-                    continue
-                dist, ways, before, seen, queue = {s: 0}, {s: 1.0}, {}, [], deque([s])
-                while queue:
-                    v = queue.popleft()
-                    seen.append(v)
-                    for w in near.get(v, ()):
-                        if w not in dist:
-                            dist[w] = dist[v] + 1
-                            queue.append(w)
-                        if dist[w] == dist[v] + 1:
-                            ways[w] = ways.get(w, 0.0) + ways[v]
-                            before.setdefault(w, []).append(v)
-                share: dict[str, float] = {}
-                for w in reversed(seen):
-                    for v in before.get(w, ()):
-                        share[v] = share.get(v, 0.0) + ways[v] / ways[w] * (1 + share.get(w, 0.0))
-                    if w != s and share.get(w):
-                        total[w] = total.get(w, 0.0) + share[w]
-        yield pd.DataFrame({"node": list(total), "part": list(total.values())}, columns=["node", "part"]).astype({"node": object, "part": float})
-
-    sources = nodes(edge_rows)
+            sources = pdf["node"].to_numpy()
+            sources = sources[start[sources + 1] > start[sources]]
+            for k in range(0, len(sources), WALKS):
+                total += _dependencies(start, near, sources[k : k + WALKS], n)
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"node": at, "part": total[at]})
+
     scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 0.0
-    sums = sources.repartition(max(8, spark.sparkContext.defaultParallelism)).mapInPandas(run, "node string, part double").groupBy("node").agg(F.sum("part").alias("part"))
-    return nodes(edge_rows).join(sums, "node", "left").select("node", F.round(F.coalesce("part", F.lit(0.0)) * scale, 9).alias("betweenness"))
+    sums = spark.range(n).select(F.col("id").alias("node")).repartition(max(8, 4 * spark.sparkContext.defaultParallelism), "node").mapInPandas(run, "node bigint, part double").groupBy("node").agg(F.sum("part").alias("part"))
+    every = spark.createDataFrame(pd.DataFrame({"id": range(n), "node": names}), "id bigint, node string")
+    return every.join(sums.withColumnRenamed("node", "id"), "id", "left").select("node", F.round(F.coalesce("part", F.lit(0.0)) * scale, 9).alias("betweenness"))
+
+
+def _dependencies(start: np.ndarray, near: np.ndarray, sources: np.ndarray, n: int) -> np.ndarray:
+    """Sum over the sources of the share of their shortest paths that pass each node; all of them walk together, level by level."""
+    size = len(sources) * n
+    ways, seen = np.zeros(size), np.zeros(size, bool)
+    front = np.arange(len(sources)) * n + sources
+    ways[front], seen[front], levels = 1.0, True, []
+    while len(front):
+        node = front % n
+        count = start[node + 1] - start[node]
+        before = np.repeat(front, count)
+        after = before - np.repeat(node, count) + near[np.repeat(start[node] - (np.cumsum(count) - count), count) + np.arange(len(before))]
+        new = ~seen[after]
+        before, after = before[new], after[new]
+        front, at = np.unique(after, return_inverse=True)
+        ways[front] = np.bincount(at, ways[before], len(front))
+        seen[front] = True
+        levels.append((before, after))
+    share = np.zeros(size)
+    for before, after in reversed(levels):
+        held, at = np.unique(before, return_inverse=True)
+        share[held] += np.bincount(at, ways[before] / ways[after] * (1 + share[after]), len(held))
+    share[np.arange(len(sources)) * n + sources] = 0.0
+    return share.reshape(len(sources), n).sum(axis=0)
 
 
 def betweenness_centrality(spark: SparkSession, base: str) -> DataFrame:

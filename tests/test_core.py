@@ -148,6 +148,33 @@ def test_large_graphs_are_refused_by_whole_graph_operators(spark, monkeypatch):
         graph.betweenness(spark.range(5).selectExpr("cast(id as string) src", "cast(id + 1 as string) tgt"))
 
 
+def test_shares_of_paths_of_many_sources_at_once(spark):
+    """Against all shortest paths listed one by one."""
+    import random
+
+    import numpy as np
+
+    r = random.Random(3)
+    near = {x: sorted({r.randrange(25) for _ in range(3)} - {x}) for x in range(25)}
+    want = dict.fromkeys(near, 0.0)
+    for s in near:
+        paths, front, seen = {}, [(s,)], {s}
+        while front:
+            front = [(*p, w) for p in front for w in near[p[-1]] if w not in seen]
+            seen |= {p[-1] for p in front}
+            for p in front:
+                paths.setdefault(p[-1], []).append(p)
+        for ways in paths.values():
+            for p in ways:
+                for v in p[1:-1]:
+                    want[v] += 1 / len(ways)
+    start = np.cumsum([0] + [len(near[x]) for x in range(25)])
+    got = graph._dependencies(start, np.array([y for x in range(25) for y in near[x]]), np.arange(25), 25)
+    assert np.allclose(got, [want[x] for x in range(25)])
+    edges = spark.createDataFrame([(f"{x:02}", f"{y:02}") for x in near for y in near[x]], "src string, tgt string")
+    assert all(abs(x.betweenness - want[int(x.node)] / (24 * 23)) < 1e-8 for x in graph.betweenness(edges).collect())
+
+
 def test_greedy_merging_keeps_no_outdated_pairs(spark):
     """Hubs push all their pairs again with each merger: 27 MB on this graph before those out of date were dropped."""
     import random
