@@ -182,3 +182,27 @@ def test_flat_counts_name_no_inferred_relation(spark, tables, monkeypatch):
     pairs = [("a", "b"), ("b", "c"), ("c", "d")]
     base = tables(relations=[{"uri": f"u{k}", "source": s, "target": t, "relation": "uses", "confidence": 0.9} for k, (s, t) in enumerate(pairs)])
     assert ("inferred", "uses", 3) in {tuple(r) for r in triples.flat_relations(spark, base).collect()}
+
+
+def test_counts_and_labels_of_the_graph_in_parts_equal_those_of_the_whole(spark, tables, monkeypatch):
+    """Inferred statements that are asserted too, lone entities, and no layout of the inferred part."""
+    pairs = [("http://x/a", "uses", "http://x/b", 0.9), ("http://x/b", "uses", "http://x/c", 0.9), ("http://x/a", "uses", "http://x/c", 0.3), ("http://x/c", "relatedTo", "http://x/d", 0.9)]
+    relations = [{"uri": f"u{k}", "source": s, "target": t, "relation": p, "confidence": c} for k, (s, p, t, c) in enumerate(pairs)]
+    base = tables(relations=relations, entities=[{"uri": f"http://x/{x}", "label": x, "entity_type": "AISystem", "confidence": 0.5} for x in "abz"])
+    whole = runtime.cut(triples.graph_triples(spark, base))
+    want = [
+        whole.groupBy("p", "o_kind").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("s").alias("subjects")),
+        triples.pruned(whole).groupBy("p").agg(F.count(F.lit(1)).alias("n")),
+        triples.single_labels(whole),
+        triples.spine_violations(whole),
+    ]
+    want = [sorted(map(tuple, w.collect())) for w in want]
+    laid = triples.graph_triples
+
+    def without_inferred(spark, base, relations=None, inferred=None):
+        assert inferred is not None, "the whole graph was laid out"
+        return laid(spark, base, relations, inferred)
+
+    monkeypatch.setattr(triples, "graph_triples", without_inferred)
+    for name, rows in zip(("triple_counts", "pruned_counts", "node_labels", "relation_spine"), want, strict=True):
+        assert sorted(map(tuple, triples.QUERIES[name](spark, base).collect())) == rows, name
