@@ -234,3 +234,13 @@ def test_only_the_triples_that_are_read_are_stored(spark, tables, monkeypatch):
     triples.relation_spine(spark, base)
     triples.node_labels(spark, base)
     assert {r.p for df in kept if "p" in df.columns for r in df.select("p").collect()} == {"type", "subject", "predicate", "object"}
+
+
+def test_shapes_of_inferred_relations_are_counted_by_their_ends(spark, tables, monkeypatch):
+    """Ends that are entities, ends without class, ends with no triple but an inferred one; no layout of the inferred part."""
+    pairs = [("http://x/a", "relatedTo", "http://x/b"), ("http://x/b", "relatedTo", "http://x/c"), ("http://x/c", "uses", "http://x/d"), ("http://x/d", "uses", "http://x/a")]
+    base = tables(relations=[{"uri": f"u{k}", "source": s, "target": t, "relation": p, "confidence": 0.9} for k, (s, p, t) in enumerate(pairs)], entities=[{"uri": f"http://x/{x}", "label": x, "entity_type": "AISystem", "confidence": 0.5} for x in "ab"], answers=[{"id": 1, "body": "text"}])
+    want = sorted(map(tuple, triples._whole_report(spark, base).collect()))
+    monkeypatch.setattr(triples, "_whole_report", lambda *_: pytest.fail("the whole graph was laid out"))
+    assert sorted(map(tuple, triples.shape_report(spark, base).collect())) == want
+    assert {x[2] for x in want} >= {"class", "or", "minCount"}
