@@ -244,3 +244,37 @@ def test_shapes_of_inferred_relations_are_counted_by_their_ends(spark, tables, m
     monkeypatch.setattr(triples, "_whole_report", lambda *_: pytest.fail("the whole graph was laid out"))
     assert sorted(map(tuple, triples.shape_report(spark, base).collect())) == want
     assert {x[2] for x in want} >= {"class", "or", "minCount"}
+
+
+def test_facts_are_stored_once_and_names_are_not_moved(spark, tmp_path, monkeypatch):
+    """Three rounds over a chain: each fact is written once, without text, and no row is shuffled for its names, however many they are."""
+    monkeypatch.setattr(runtime, "shared_dir", lambda spark: str(tmp_path))
+    chain = [(f"n{k:02}", "uses", f"n{k + 1:02}", 0.9, f"k{k:02}") for k in range(20)]
+    base = spark.createDataFrame(chain, "s string, p string, o string, confidence double, key string")
+    want = sorted(map(tuple, reasoning.infer(base, 3).collect()))
+    monkeypatch.setattr(reasoning, "NAMED", (0, 0))
+    found = reasoning._rounds(base, 3)
+    got = found.spelled()
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 100
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert all(dict(x.dtypes) == {"s": "bigint", "p": "int", "o": "bigint", "c": "double", "r": "int", "k": "bigint"} for x in found.stored)
+    assert sum(x.count() for x in found.stored) == sum(x[5] < 3 for x in want)
+
+
+def test_keys_behind_those_of_derived_facts_keep_their_order(spark):
+    """Base facts whose uris begin with ~ or beyond, by the naive joins."""
+    import random
+
+    r = random.Random(8)
+    rows = list({(f"n{r.randrange(9)}", r.choice(["relatedTo", "uses", "causes"]), f"n{r.randrange(9)}"): 0 for _ in range(24)})
+    base = spark.createDataFrame([(*x, r.choice([0.5, 0.6, 0.7, 0.8, 0.9]), r.choice(["k", "~", "~1_8", "~2_", "é"]) + f"{k:03}") for k, x in enumerate(rows)], "s string, p string, o string, confidence double, key string")
+    got = {(x.s, x.p, x.o, x.confidence, x.iteration) for x in reasoning.infer(base, 3).collect()}
+    known, want = base, set()
+    for turn in (1, 2, 3):
+        best = reasoning.derive(known).groupBy("s", "p", "o").agg(F.min_by(F.struct("confidence", "rule"), F.struct("rule_ord", "k1", "k2")).alias("b"))
+        new = best.join(known.select("s", "p", "o"), ["s", "p", "o"], "left_anti").select("s", "p", "o", F.round("b.confidence", 6).alias("confidence"), "b.rule")
+        name = C.short_hash(F.concat_ws("|", "s", "p", "o", F.lit(f"it={turn}"), F.concat(F.lit("rule="), F.col("rule"))))
+        new = runtime.cut(new.withColumn("key", F.concat(F.lit(f"~{turn}_"), name)))
+        want |= {(x.s, x.p, x.o, x.confidence, turn) for x in new.collect()}
+        known = runtime.cut(known.unionByName(new.drop("rule")))
+    assert got == want and any(x[4] > 1 for x in want)
