@@ -278,3 +278,15 @@ def test_keys_behind_those_of_derived_facts_keep_their_order(spark):
         want |= {(x.s, x.p, x.o, x.confidence, turn) for x in new.collect()}
         known = runtime.cut(known.unionByName(new.drop("rule")))
     assert got == want and any(x[4] > 1 for x in want)
+
+
+def test_names_are_labelled_once_in_one_pass(spark, tables, monkeypatch):
+    """An entity with a label and one without bear names of inferred relations, a stated relation that of a third; nothing is laid out or made twice."""
+    names = [hashlib.sha256(f"http://x/{a}|uses|http://x/{b}".encode()).hexdigest()[:16] for a, b in ("ac", "bd", "ad")]
+    pairs = [("u0", "http://x/a", "http://x/b"), ("u1", "http://x/b", "http://x/c"), ("u2", "http://x/c", "http://x/d"), (f"inferred_{names[0]}", "http://x/d", "http://x/e")]
+    entities = [{"uri": f"{triples.V.KG}inferred_{names[k]}", "label": label, "entity_type": "Technology", "confidence": 0.5} for k, label in ((1, "Told"), (2, None))]
+    base = tables(relations=[{"uri": u, "source": s, "target": t, "relation": "uses", "confidence": 0.9} for u, s, t in pairs], entities=entities)
+    want = sorted(map(tuple, triples.single_labels(triples.graph_triples(spark, base)).collect()))
+    assert sum(x[0].rpartition("_")[2] in names for x in want) == 3
+    monkeypatch.setattr(triples.Parts, "apart", lambda *_: pytest.fail("inferred relations were made twice"))
+    assert sorted(map(tuple, triples.node_labels(spark, base).collect())) == want
