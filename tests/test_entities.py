@@ -290,3 +290,12 @@ def test_names_are_labelled_once_in_one_pass(spark, tables, monkeypatch):
     assert sum(x[0].rpartition("_")[2] in names for x in want) == 3
     monkeypatch.setattr(triples.Parts, "apart", lambda *_: pytest.fail("inferred relations were made twice"))
     assert sorted(map(tuple, triples.node_labels(spark, base).collect())) == want
+
+
+def test_pruned_counts_make_inferred_relations_once(spark, tables, monkeypatch):
+    pairs = [("http://x/a", "http://x/b"), ("http://x/b", "http://x/c"), ("http://x/c", "http://x/d")]
+    base = tables(relations=[{"uri": f"u{k}", "source": s, "target": t, "relation": "uses", "confidence": 0.9} for k, (s, t) in enumerate(pairs)], entities=[{"uri": f"http://x/{x}", "label": x, "entity_type": "AISystem", "confidence": 0.5} for x in "az"])
+    want = sorted(map(tuple, triples.pruned(triples.graph_triples(spark, base)).groupBy("p").agg(F.count(F.lit(1))).collect()))
+    reads, read = [], reasoning.Inferred.read
+    monkeypatch.setattr(reasoning.Inferred, "read", lambda *x: (reads.append(x), read(*x))[1])
+    assert sorted(map(tuple, triples.pruned_counts(spark, base).collect())) == want and len(reads) == 1
