@@ -299,3 +299,29 @@ def test_pruned_counts_make_inferred_relations_once(spark, tables, monkeypatch):
     reads, read = [], reasoning.Inferred.read
     monkeypatch.setattr(reasoning.Inferred, "read", lambda *x: (reads.append(x), read(*x))[1])
     assert sorted(map(tuple, triples.pruned_counts(spark, base).collect())) == want and len(reads) == 1
+
+
+def test_known_facts_are_mapped_and_counts_are_made_in_the_workers(spark, tables, tmp_path, monkeypatch):
+    """Arrays written in small pieces say the same as facts held in memory; a worker maps them. Statistics take no rows out of the workers."""
+    import random
+
+    import numpy as np
+
+    from symposia.operators import rounds
+
+    r = random.Random(4)
+    rows = sorted({(r.randrange(16), r.choice(rounds.NAMES), r.randrange(16)) for _ in range(400)})
+    facts = spark.createDataFrame([(s, rounds.CODE[p], o, r.choice([0.5, 0.62, 0.9]), k, None, True) for k, (s, p, o) in enumerate(rows)], "s bigint, p int, o bigint, c double, k bigint, late string, fresh boolean")
+    base, ids = runtime.cut(facts), runtime.cut(spark.createDataFrame([(k, f"n{k}") for k in range(16)], "id bigint, name string"))
+    work, made = spark.range(0, 2, 1, 2), "s bigint, p int, o bigint, c double, r int, k bigint"
+    new = runtime.cut(work.mapInArrow(rounds.run((runtime.located(base),), 2, rounds.keyed(runtime.located(ids), 1)), made))
+    tables_of = runtime.located(base), runtime.located(new)
+    monkeypatch.setattr(rounds, "READ", 7)
+    rounds.lay(f"file://{tmp_path}/laid", runtime.located(ids), *tables_of)
+    held, mapped = rounds.Known(*tables_of), rounds.Laid(f"file://{tmp_path}/laid")
+    told = lambda known: [(s, p, known.ids[o].tolist(), c.tolist(), order) for s, p, o, c, order in rounds.derived(known, 0, 1)]
+    assert new.count() and told(mapped) == told(held) and len(told(held)) > 20
+    assert isinstance(mapped.list("relatedTo", "out").other.base, np.memmap) and mapped.list("relatedTo", "out").other.itemsize + mapped.list("relatedTo", "out").c.itemsize < 7
+    base = tables(relations=[{"uri": f"u{k}", "source": f"http://x/{k}", "target": f"http://x/{k + 1}", "relation": "uses", "confidence": 0.9} for k in range(4)])
+    monkeypatch.setattr(reasoning.Inferred, "_told", lambda *_: pytest.fail("counts need no rows"))
+    assert {tuple(x) for x in reasoning.inference_stats(spark, base).collect()} == {("transitive", "uses", 1, 3), ("transitive", "uses", 2, 3)}
