@@ -6,16 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from symposia.functions import columns as C
-from symposia.runtime import cut, drop, read
+from symposia.runtime import counted_off, cut, drop, fetched, located, read
 
-#: Betweenness and greedy communities hold the whole graph in one worker; more edges than this are refused.
-WHOLE_GRAPH_EDGES = 200_000
-#: Sources of betweenness that walk together.
-WALKS = 16
+#: Betweenness holds the whole graph in each worker, greedy communities in one: arrays with places of 32 bits, so more edges are refused.
+WHOLE_GRAPH_EDGES = (1 << 31) - 1
+#: Sources of betweenness that walk together, and edges of them all.
+WALKS, WALKED = 16, 3_000_000
 
 
 def edges(spark: SparkSession, base: str) -> DataFrame:
@@ -183,63 +184,85 @@ def communities(spark: SparkSession, base: str) -> DataFrame:
     return label_propagation(edges(spark, base))
 
 
-def _refuse_large(edge_rows: DataFrame) -> list:
-    found = edge_rows.limit(WHOLE_GRAPH_EDGES + 1).collect()
-    if len(found) > WHOLE_GRAPH_EDGES:
+def _numbered(edge_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, id) in the order of the names, and the edges (s, t) as these numbers; both in the shared folder."""
+    edge_rows = cut(edge_rows.toDF("src", "tgt"))
+    if edge_rows.count() > WHOLE_GRAPH_EDGES:
         raise ValueError(f"more than {WHOLE_GRAPH_EDGES} edges: use page ranks or label propagation")
-    return [(r[0], r[1]) for r in found]
+    ids = counted_off(nodes(edge_rows).orderBy("node"))
+    end = lambda c, name: ids.select(F.col("node").alias(c), F.col("id").cast("int").alias(name))
+    return ids, cut(edge_rows.join(end("src", "s"), "src").join(end("tgt", "t"), "tgt").select("s", "t"))
+
+
+def _links(uri: str, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the links of each node begin, and their ends."""
+    table = fetched(uri)
+    s, t = (table.column(c).to_numpy() for c in "st")
+    order = np.lexsort((t, s))
+    order = order[s[order] != t[order]]
+    return np.searchsorted(s[order], np.arange(n + 1)), t[order]
 
 
 def betweenness(edge_rows: DataFrame) -> DataFrame:
     """(node, betweenness), directed and normalised; sources are spread over the tasks, each walks its shortest paths."""
-    pairs = _refuse_large(edge_rows)
-    spark = edge_rows.sparkSession
-    names = sorted({x for p in pairs for x in p})
-    number, n = {x: k for k, x in enumerate(names)}, len(names)
-    links = np.array(sorted((number[s], number[t]) for s, t in pairs if s != t), np.int32).reshape(-1, 2)
-    del pairs, number
-    shared = spark.sparkContext.broadcast((np.searchsorted(links[:, 0], np.arange(n + 1)), links[:, 1].copy()))
+    ids, edge_rows = _numbered(edge_rows)
+    spark, n, uri = ids.sparkSession, ids.count(), located(edge_rows)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        start, near = shared.value
-        total = np.zeros(n)
+        start, near = _links(uri, n)
+        walks = max(1, min(WALKS, WALKED // max(1, len(near))))
+        total, room = np.zeros(n), _room(walks * n)
         for pdf in frames:
             sources = pdf["node"].to_numpy()
             sources = sources[start[sources + 1] > start[sources]]
-            for k in range(0, len(sources), WALKS):
-                total += _dependencies(start, near, sources[k : k + WALKS], n)
+            for k in range(0, len(sources), walks):
+                _dependencies(start, near, sources[k : k + walks], n, total, room)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"node": at, "part": total[at]})
 
     scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 0.0
     sums = spark.range(n).select(F.col("id").alias("node")).repartition(max(8, 4 * spark.sparkContext.defaultParallelism), "node").mapInPandas(run, "node bigint, part double").groupBy("node").agg(F.sum("part").alias("part"))
-    every = spark.createDataFrame(pd.DataFrame({"id": range(n), "node": names}), "id bigint, node string")
-    return every.join(sums.withColumnRenamed("node", "id"), "id", "left").select("node", F.round(F.coalesce("part", F.lit(0.0)) * scale, 9).alias("betweenness"))
+    return ids.join(sums.withColumnRenamed("node", "id"), "id", "left").select("node", F.round(F.coalesce("part", F.lit(0.0)) * scale, 9).alias("betweenness"))
+
+
+def _room(size: int) -> tuple[np.ndarray, ...]:
+    return np.zeros(size), np.zeros(size, bool), np.zeros(size, np.int32), np.zeros(size), np.zeros(size)
 
 
-def _dependencies(start: np.ndarray, near: np.ndarray, sources: np.ndarray, n: int) -> np.ndarray:
-    """Sum over the sources of the share of their shortest paths that pass each node; all of them walk together, level by level."""
-    size = len(sources) * n
-    ways, seen = np.zeros(size), np.zeros(size, bool)
+def _dependencies(start: np.ndarray, near: np.ndarray, sources: np.ndarray, n: int, total: np.ndarray | None = None, room: tuple[np.ndarray, ...] | None = None) -> np.ndarray:
+    """Sum over the sources of the share of their shortest paths that pass each node; all of them walk together, level by level.
+    It is added to ``total``; ``room`` is left as it was, so that a walk costs what it reaches."""
+    total = np.zeros(n) if total is None else total
+    ways, seen, last, share, back = _room(len(sources) * n) if room is None else room
     front = np.arange(len(sources)) * n + sources
-    ways[front], seen[front], levels = 1.0, True, []
+    ways[front], seen[front], levels, every = 1.0, True, [], [front]
     while len(front):
         node = front % n
         count = start[node + 1] - start[node]
-        before = np.repeat(front, count)
-        after = before - np.repeat(node, count) + near[np.repeat(start[node] - (np.cumsum(count) - count), count) + np.arange(len(before))]
+        after = np.repeat(front - node, count) + near[np.repeat(start[node] - (np.cumsum(count) - count), count) + np.arange(count.sum())]
         new = ~seen[after]
-        before, after = before[new], after[new]
-        front, at = np.unique(after, return_inverse=True)
-        ways[front] = np.bincount(at, ways[before], len(front))
+        after = after[new]
+        # links of a node stand together, before and after those to earlier levels are left out
+        kept = np.diff(np.concatenate([[0], np.cumsum(new)])[np.concatenate([[0], np.cumsum(count)])])
+        front, kept = front[kept > 0], kept[kept > 0]
+        np.add.at(ways, after, np.repeat(ways[front], kept))
+        levels.append((front, np.cumsum(kept) - kept, after))
+        # the last to be written stands for a node that is reached more than once
+        order = np.arange(len(after), dtype=np.int32)
+        last[after] = order
+        front = after[last[after] == order]
         seen[front] = True
-        levels.append((before, after))
-    share = np.zeros(size)
-    for before, after in reversed(levels):
-        held, at = np.unique(before, return_inverse=True)
-        share[held] += np.bincount(at, ways[before] / ways[after] * (1 + share[after]), len(held))
-    share[np.arange(len(sources)) * n + sources] = 0.0
-    return share.reshape(len(sources), n).sum(axis=0)
+        every.append(front)
+    for (before, begin, after), reached in zip(reversed(levels), reversed(every), strict=False):
+        if len(before):
+            # what a node reached hands back for each way that leads to it
+            back[reached] = (1 + share[reached]) / ways[reached]
+            share[before] = ways[before] * np.add.reduceat(back[after], begin)
+    share[every[0]] = 0.0
+    reached = np.concatenate(every)
+    np.add.at(total, reached % n, share[reached])
+    ways[reached], seen[reached], share[reached] = 0.0, False, 0.0
+    return total
 
 
 def betweenness_centrality(spark: SparkSession, base: str) -> DataFrame:
@@ -247,62 +270,77 @@ def betweenness_centrality(spark: SparkSession, base: str) -> DataFrame:
 
 
 def greedy_modularity(edge_rows: DataFrame) -> DataFrame:
-    """(node, community) by greedy merging for the greatest gain of modularity; for graphs that fit one worker."""
+    """(node, community) by greedy merging for the greatest gain of modularity; one worker holds the whole graph."""
+    ids, pairs = _numbered(undirected(edge_rows))
+    uri, n = located(pairs), ids.count()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            table = fetched(uri)
+            found = _greedy(n, *(table.column(c).to_numpy() for c in "st"))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array(found)], ["id", "root"])
+
+    found = cut(ids.sparkSession.range(0, 1, 1, 1).mapInArrow(run, "id bigint, root bigint"))
+    return ids.join(found, "id").join(ids.select(F.col("id").alias("root"), F.col("node").alias("community")), "root").select("node", "community")
+
+
+def _greedy(n: int, s: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """The least member of each node's community. Numbers are in the order of the names: ties fall as they would by name.
+
+    A gain only falls while the weight between two communities stays, so a pair waits in the heap with a gain it once had, and is
+    put back with what it has now when its turn comes; a pair whose weight rises is put in again."""
     import heapq
 
-    pairs = _refuse_large(undirected(edge_rows))
-    m = len(pairs)
-    if not m:
-        return edge_rows.sparkSession.createDataFrame([], "node string, community string")
-    # numbers in the order of the names: ties fall as they would by name
-    names = sorted({x for p in pairs for x in p})
-    number = {x: k for k, x in enumerate(names)}
-    weight: list[dict[int, int] | None] = [{} for _ in names]
-    for k, (a, b) in enumerate(pairs):
-        a, b = number[a], number[b]
-        pairs[k] = (a, b)
-        weight[a][b] = weight[b][a] = 1
-    del number
-    degree = [len(v) for v in weight]
-    parent = list(range(len(names)))
-    gain = lambda a, b: weight[a][b] / m - degree[a] * degree[b] / (2.0 * m * m)
-    heap = [(-gain(a, b), a, b) for a, b in pairs]
-    del pairs
+    m = len(s)
+    number = list(range(n))
+    weight: list[dict[int, int] | None] = [{} for _ in number]
+    heap = []
+    degree = (np.bincount(s, minlength=n) + np.bincount(t, minlength=n)).tolist()
+    double = 2.0 * m * m
+    for i in range(0, m, 100_000):
+        for a, b in zip(s[i : i + 100_000].tolist(), t[i : i + 100_000].tolist(), strict=True):
+            # one object a number
+            a, b = number[a], number[b]
+            if a > b:
+                a, b = b, a
+            weight[a][b] = weight[b][a] = 1
+            heap.append((degree[a] * degree[b] / double - 1 / m, a, b))
+    parent = number[:]
     heapq.heapify(heap)
-    bound = max(1000, 4 * len(heap))
+    bound = max(1000, 2 * len(heap))
     while heap:
         g, a, b = heapq.heappop(heap)
-        if -g <= 0:
+        if g >= 0:
             break
-        if weight[a] is None or weight[b] is None or b not in weight[a] or abs(-g - gain(a, b)) > 1e-12:
+        near = weight[a]
+        if near is None or (w := near.get(b)) is None:
+            continue
+        v = degree[a] * degree[b] / double - w / m
+        if v != g:
+            if g < v < 0:
+                heapq.heappush(heap, (v, a, b))
             continue
+        degree[a] += degree[b]
+        parent[b] = a
+        own = degree[a]
         for x, w in weight[b].items():
-            del weight[x][b]
+            other = weight[x]
+            del other[b]
             if x != a:
-                weight[a][x] = weight[x][a] = weight[a].get(x, 0) + w
+                other[a] = near[x] = w = near.get(x, 0) + w
+                v = own * degree[x] / double - w / m
+                if v < 0:
+                    heapq.heappush(heap, (v, a, x) if a < x else (v, x, a))
         weight[b] = None
-        degree[a] += degree[b]
-        parent[b] = a
-        for x in weight[a]:
-            lo, hi = (a, x) if a < x else (x, a)
-            v = gain(lo, hi)
-            # a pair that gains nothing now is pushed again when it does
-            if v > 0:
-                heapq.heappush(heap, (-v, lo, hi))
         if len(heap) > bound:
             # most of it is out of date: the pairs as they stand now say the same
-            heap = [(-v, a, b) for a, near in enumerate(weight) if near for b in near if a < b and (v := gain(a, b)) > 0]
+            heap = [(v, a, b) for a, near in enumerate(weight) if near for b, w in near.items() if a < b and (v := degree[a] * degree[b] / double - w / m) < 0]
             heapq.heapify(heap)
-            bound = max(1000, 4 * len(heap))
-    del heap, weight
-
-    def rows() -> Iterator[tuple[str, str]]:
-        # a merger keeps the lesser number, so it comes before what it took in, and is the least of its members
-        for x in range(len(names)):
-            parent[x] = parent[parent[x]]
-            yield names[x], names[parent[x]]
-
-    return edge_rows.sparkSession.createDataFrame(pd.DataFrame(rows(), columns=["node", "community"]))
+            bound = max(1000, 2 * len(heap))
+    # a merger keeps the lesser number, so it comes before what it took in, and is the least of its members
+    for x in range(n):
+        parent[x] = parent[parent[x]]
+    return np.array(parent, np.int64)
 
 
 QUERIES = {

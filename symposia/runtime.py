@@ -69,6 +69,28 @@ def located(table: DataFrame | Placed) -> str:
     return uri if "://" in uri else uri.replace(":/", ":///", 1)
 
 
+def fetched(uri: str) -> pa.Table:
+    """A table of the shared folder, read whole in a worker."""
+    from pyarrow import fs, parquet
+
+    system, path = fs.FileSystem.from_uri(uri)
+    return parquet.read_table(path, filesystem=system)
+
+
+def counted_off(names: DataFrame) -> DataFrame:
+    """The rows with a number ``id``: from 0, in their order and without gaps, so that it is a place in an array."""
+    rows = cut(names.withColumn("id", F.monotonically_increasing_id()))
+    part, total, begin = F.shiftright("id", 33), 0, []
+    for row in sorted(rows.groupBy(part.alias("part")).count().collect()):
+        begin += [F.lit(row["part"]), F.lit(total)]
+        total += row["count"]
+    if not begin:
+        return rows
+    out = cut(rows.withColumn("id", (F.element_at(F.create_map(*begin), part) + F.col("id").bitwiseAND((1 << 33) - 1)).cast("bigint")))
+    drop(rows)
+    return out
+
+
 def drop(*tables: DataFrame | Placed | None) -> None:
     """Delete what ``cut`` wrote for these; others are left alone."""
     for df in tables:

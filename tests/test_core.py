@@ -175,6 +175,18 @@ def test_shares_of_paths_of_many_sources_at_once(spark):
     assert all(abs(x.betweenness - want[int(x.node)] / (24 * 23)) < 1e-8 for x in graph.betweenness(edges).collect())
 
 
+def test_whole_graphs_beyond_200000_edges(spark):
+    """A hub of 200,100 edges, numbered by Spark: nothing of it comes to the driver."""
+    star = spark.range(200_100).selectExpr("if(id = 0, 'x', 'hub') src", "if(id = 0, 'hub', cast(id as string)) tgt")
+    rows = graph.betweenness(star).where("betweenness > 0").collect()
+    assert [(r.node, r.betweenness) for r in rows] == [("hub", round(200_099 / (200_100 * 200_099), 9))]
+
+
+def test_greedy_merging_beyond_200000_edges(spark):
+    pairs = spark.range(200_100).selectExpr("concat('a', id) src", "concat('b', id) tgt")
+    assert graph.greedy_modularity(pairs).where("substring(node, 2) = substring(community, 2) and community like 'a%'").count() == 400_200
+
+
 def test_greedy_merging_keeps_no_outdated_pairs(spark):
     """Hubs push all their pairs again with each merger: 27 MB on this graph before those out of date were dropped."""
     import random
