@@ -325,3 +325,13 @@ def test_known_facts_are_mapped_and_counts_are_made_in_the_workers(spark, tables
     base = tables(relations=[{"uri": f"u{k}", "source": f"http://x/{k}", "target": f"http://x/{k + 1}", "relation": "uses", "confidence": 0.9} for k in range(4)])
     monkeypatch.setattr(reasoning.Inferred, "_told", lambda *_: pytest.fail("counts need no rows"))
     assert {tuple(x) for x in reasoning.inference_stats(spark, base).collect()} == {("transitive", "uses", 1, 3), ("transitive", "uses", 2, 3)}
+
+
+def test_contradictions_are_told_by_number(spark, tables, monkeypatch):
+    """``b`` is said to violate what it complies with by inference only, ``x`` violates ``y`` alone; nothing else is named."""
+    said = [("a", "violates", "b"), ("b", "relatedTo", "c"), ("a", "compliesWith", "c"), ("b", "relatedTo", "d"), ("x", "violates", "y"), ("a", "supports", "b"), ("a", "opposes", "b")]
+    base = tables(relations=[{"uri": f"u{k}", "source": f"http://x/{s}", "target": f"http://x/{t}", "relation": p, "confidence": 0.9} for k, (s, p, t) in enumerate(said)])
+    want = reasoning.conflicts(reasoning.base_relations(spark, base).select("source", "relation", "target").unionByName(reasoning.inferred_relations(spark, base).select("source", "relation", "target"))).collect()
+    monkeypatch.setattr(reasoning.Inferred, "_told", lambda *_: pytest.fail("all relations were named"))
+    got = reasoning.stated_conflicts(spark, base).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and ("http://x/a", "http://x/c", "compliesWith", "violates", "high") in {tuple(x) for x in got}
